@@ -58,8 +58,9 @@ def dimension(stg: DataFrame) -> DataFrame:
     return stg.withColumn("dividend_frequency", frequency_label(F.col("frequency"))).select(DIM_COLUMNS)
 
 
-# Rows that one task may repeat for a group before the group is cut into chunks.
-CHUNK_ROWS = 65_536
+# Groups of more rows than this are cut into chunks of this size. Small, because AQE may put very many
+# groups into one task: a group is a few bytes however many rows it stands for.
+CHUNK_ROWS = 4_096
 
 
 def summary_sql(dim: str, partitions: int, chunk_rows: int = CHUNK_ROWS) -> str:

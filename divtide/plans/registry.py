@@ -15,6 +15,7 @@ from divtide.operators.normalize import conform, strict_union, union_rows
 from divtide.operators.quality import batch_metrics, not_null_report
 from divtide.operators.totals import ticker_year_totals, with_change, with_previous_year
 from divtide.plans import fixtures as fx
+from divtide.plans.load import Targets
 from divtide.plans.models import build_models, clean_columns, dimension, staging, summary, trends
 from divtide.plans.run import run_once
 from divtide.schema import RAW_COLUMNS
@@ -23,7 +24,7 @@ from divtide.sources.history import append_history, new_rows, read_history
 from divtide.sources.pages import page_rows, people, read_nested, read_pages
 from divtide.sources.staging_csv import clear_staging, read_staging, write_staging
 from divtide.sources.warehouse import append_raw, create_database, create_raw_table, read_raw
-from divtide.streaming.ingest import Targets, ingest_available
+from divtide.streaming.ingest import ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -214,13 +215,12 @@ def warehouse_append(spark, sf_dir):
 def microbatch_replay(spark, sf_dir):
     """Half the pages land, are loaded, the other half land, are loaded; a third run finds nothing."""
     landing, root = scratch_dir(spark, "pages"), scratch_dir(spark, "stream")
-    targets = Targets(f"{root}/history", f"{database(spark)}.dividends", f"{root}/rejects", f"{root}/checkpoint")
+    targets = Targets(f"{root}/history", f"{root}/rejects", f"{database(spark)}.dividends")
     raw = fx.raw_dividends(spark, sf_dir)
-    fx.land_pages(fx.first_part(raw), landing)
-    ingest_available(spark, landing, targets, max_files=None)
-    fx.land_pages(fx.other_part(raw), landing)
-    ingest_available(spark, landing, targets, max_files=None)
-    ingest_available(spark, landing, targets, max_files=None)
+    for part in (fx.first_part(raw), fx.other_part(raw), None):
+        if part is not None:
+            fx.land_pages(part, landing)
+        ingest_available(spark, landing, targets, f"{root}/checkpoint", max_files=None)
     sinks = {"history": read_history(spark, targets.history), "table": read_raw(spark, targets.table)}
     return reduce(DataFrame.unionByName, [df.withColumn("sink", F.lit(name)) for name, df in sinks.items()])
 

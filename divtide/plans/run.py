@@ -1,14 +1,17 @@
 """One whole run: landed pages to history, staging area, raw table and models."""
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from uuid import uuid4
 
-from divtide.functions import blank_null_tokens
+from pyspark.sql import DataFrame, SparkSession
+
+from divtide.plans.load import Targets, load_batch
 from divtide.plans.models import Day, build_models
-from divtide.sources.history import append_history
-from divtide.sources.pages import page_rows, read_pages
-from divtide.sources.staging_csv import clear_staging, read_staging, write_staging
-from divtide.sources.warehouse import append_raw, create_database, create_raw_table, read_raw
+from divtide.sources.pages import read_pages
+from divtide.sources.warehouse import create_database, create_raw_table, read_raw
+
+
+def targets_below(out: str, database: str, **options) -> Targets:
+    return Targets(f"{out}/history", f"{out}/rejects", f"{database}.dividends", f"{out}/staging", **options)
 
 
 def run_once(
@@ -17,24 +20,16 @@ def run_once(
     out: str,
     database: str,
     as_of: Day = None,
-    null_tokens: tuple[str, ...] = ("",),
+    run_id: str | None = None,
     multi_line: bool = False,
+    **options,
 ) -> tuple[dict[str, DataFrame], dict]:
-    """Loads every page in `landing` and rebuilds the models; returns these and the row count.
+    """Loads every page in `landing` and rebuilds the models; returns these and the counts.
 
-    The history keeps the values as they landed. The table is loaded from the staging files, in
-    which `null_tokens` count as missing. A failed load leaves the staging files in place.
+    Doing a run again under the same `run_id` replaces what it stored.
     """
-    loaded = Observation()
-    rows = page_rows(read_pages(spark, landing, multi_line))
-    append_history(rows.observe(loaded, F.count(F.lit(1)).alias("rows")), f"{out}/history")
-
-    write_staging(rows, f"{out}/staging")
+    targets = targets_below(out, database, **options)
     create_database(spark, database, f"{out}/warehouse")
-    create_raw_table(spark, f"{database}.dividends")
-    staged = read_staging(spark, f"{out}/staging")
-    append_raw(blank_null_tokens(staged, list(null_tokens)), f"{database}.dividends")
-    clear_staging(spark, f"{out}/staging")
-
-    models = build_models(spark, read_raw(spark, f"{database}.dividends"), database, as_of)
-    return models, loaded.get
+    create_raw_table(spark, targets.table, by_batch=True)
+    counts = load_batch(read_pages(spark, landing, multi_line), targets, run_id or uuid4().hex)
+    return build_models(spark, read_raw(spark, targets.table), database, as_of), counts

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from divtide.operators.normalize import conform
-from divtide.schema import BATCH_COLUMN, RAW_COLUMNS
+from divtide.schema import BATCH_COLUMN, RAW_COLUMNS, all_text
 
 BROADCAST_IDS = 1_000_000
 
@@ -30,6 +30,12 @@ def append_history(batch: DataFrame, path: str, batch_id: str | None = None) ->
         write.option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COLUMN).parquet(path)
 
 
+def read_batch(spark: SparkSession, path: str, batch_id: str) -> DataFrame:
+    """The rows that one batch added, read from its partition only."""
+    history = spark.read.schema(all_text([*RAW_COLUMNS, BATCH_COLUMN])).parquet(path)
+    return history.where(F.col(BATCH_COLUMN) == batch_id).select(RAW_COLUMNS)
+
+
 def new_rows(batch: DataFrame, history: DataFrame, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
     """Rows of `batch` that the history does not hold, each once; NULLs compare as equal.
 

@@ -36,12 +36,12 @@ def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> Data
 
 def page_rows(pages: DataFrame) -> DataFrame:
     """The raw rows in `results`; a page whose `results` is missing or empty adds none."""
-    return pages.select(F.inline("results")).select(RAW_COLUMNS)
+    return pages.where(F.col(CORRUPT_COLUMN).isNull()).select(F.inline("results")).select(RAW_COLUMNS)
 
 
 def rejected_pages(pages: DataFrame) -> DataFrame:
-    """The text of pages that are no JSON."""
-    return pages.where(F.col(CORRUPT_COLUMN).isNotNull()).select(CORRUPT_COLUMN)
+    """Pages that are no JSON or not of the page's form: their text, and `status` if it could be read."""
+    return pages.where(F.col(CORRUPT_COLUMN).isNotNull()).select(F.col(CORRUPT_COLUMN).alias("page"), "status")
 
 
 def no_rows(spark: SparkSession) -> DataFrame:

@@ -2,16 +2,13 @@
 
 import logging
 from collections.abc import Callable
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from divtide.schema import BATCH_COLUMN, PAGE_SCHEMA
-from divtide.sources.history import append_history
-from divtide.sources.pages import page_rows, rejected_pages
-from divtide.sources.warehouse import create_raw_table, replace_batch
+from divtide.plans.load import Targets, load_batch
+from divtide.schema import PAGE_SCHEMA
+from divtide.sources.warehouse import create_raw_table
 
 log = logging.getLogger(__name__)
 
@@ -22,47 +19,20 @@ PAGES_PER_BATCH = 5
 AfterBatch = Callable[[SparkSession, dict], None]
 
 
-@dataclass(frozen=True)
-class Targets:
-    """Where a stream writes. `history` and `rejects` are folders, `table` a catalog table."""
-
-    history: str
-    table: str
-    rejects: str
-    checkpoint: str
-
-
-def page_stream(spark: SparkSession, landing: str, max_files: int | None, multi_line: bool) -> DataFrame:
+def page_stream(
+    spark: SparkSession, landing: str, max_files: int | None = None, multi_line: bool = False
+) -> DataFrame:
     reader = spark.readStream.schema(PAGE_SCHEMA).option("multiLine", multi_line)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.json(landing)
 
 
-def load_batch(pages: DataFrame, targets: Targets, batch_id: str) -> dict:
-    """Writes one batch to every target and returns its counts.
-
-    Each target keeps the batch in a partition of its own and replaces that on a repeat. A batch
-    that failed half way is done again whole and nothing is added twice.
-    """
-    counts = Observation()
-    pages = pages.persist()
-    try:
-        rows = page_rows(pages)
-        append_history(rows.observe(counts, F.count(F.lit(1)).alias("rows")), targets.history, batch_id)
-        replace_batch(rows, targets.table, batch_id)
-        rejected = Observation()
-        rejects = rejected_pages(pages).observe(rejected, F.count(F.lit(1)).alias("rejected_pages"))
-        rejects.write.mode("overwrite").json(f"{targets.rejects}/{BATCH_COLUMN}={batch_id}")
-        return {"batch": batch_id, **counts.get, **rejected.get}
-    finally:
-        pages.unpersist()
-
-
 def start_ingest(
     spark: SparkSession,
     landing: str,
     targets: Targets,
+    checkpoint: str,
     max_files: int | None = PAGES_PER_BATCH,
     interval: str | None = INTERVAL,
     after_batch: AfterBatch | None = None,
@@ -71,8 +41,8 @@ def start_ingest(
     """Starts loading pages as they land in the folder `landing`.
 
     Without `interval` the stream takes what is there and ends. `max_files` limits how many files
-    one batch takes; the others wait for the next. `after_batch` runs once a batch is stored, for
-    example to rebuild the models.
+    one batch takes; the others wait for the next. `after_batch` gets the session and the counts
+    once a batch is stored, for example to rebuild the models.
     """
     create_raw_table(spark, targets.table, by_batch=True)
 
@@ -89,12 +59,12 @@ def start_ingest(
     return (
         page_stream(spark, landing, max_files, multi_line)
         .writeStream.foreachBatch(load)
-        .option("checkpointLocation", targets.checkpoint)
+        .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
     )
 
 
-def ingest_available(spark: SparkSession, landing: str, targets: Targets, **options) -> None:
+def ingest_available(spark: SparkSession, landing: str, targets: Targets, checkpoint: str, **options) -> None:
     """Loads the pages that have landed and were not loaded before."""
-    start_ingest(spark, landing, targets, interval=None, **options).awaitTermination()
+    start_ingest(spark, landing, targets, checkpoint, interval=None, **options).awaitTermination()
