@@ -49,8 +49,12 @@ def as_date(column: Column, strict: bool = False) -> Column:
 
 
 def as_long(column: Column) -> Column:
-    """Text to whole number, rounding `4.0` or `4.7`; NULL where it is none."""
-    return F.round(column.try_cast("decimal(38,10)"), 0).try_cast("bigint")
+    """Text to whole number, rounding `4.0` or `4.7`; NULL where it is none.
+
+    Plain digits, the common case, do not go through the slower decimal.
+    """
+    rounded = F.round(column.try_cast("decimal(38,10)"), 0).try_cast("bigint")
+    return F.coalesce(column.try_cast("bigint"), rounded)
 
 
 def as_double(column: Column) -> Column:

@@ -63,7 +63,7 @@ def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def land_pages(rows: DataFrame, path: str, files: int | None = None) -> None:
     """Writes `rows` as JSON pages, one per line, of at most `PAGE_ROWS` rows each."""
-    page = (F.monotonically_increasing_id() / PAGE_ROWS).cast("bigint")
+    page = F.expr(f"monotonically_increasing_id() div {PAGE_ROWS}")
     pages = (
         rows.select(page.alias("page"), F.struct(*rows.columns).alias("row"))
         .groupBy("page")
@@ -75,7 +75,7 @@ def land_pages(rows: DataFrame, path: str, files: int | None = None) -> None:
 
 def land_people(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Writes customers as lists of people; keys are unique, so a list has `PEOPLE_PER_PAYLOAD` at most."""
-    payload = F.floor(F.col("c_custkey") / PEOPLE_PER_PAYLOAD)
+    payload = F.expr(f"c_custkey div {PEOPLE_PER_PAYLOAD}")
     person = F.struct(F.col("c_mktsegment").alias("craft"), F.col("c_name").alias("name"))
     (
         table(spark, sf_dir, "customer")

@@ -1,6 +1,7 @@
 """The four models, each a function of the relation it reads."""
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from divtide.functions import as_date, as_double, as_long, clean_text, frequency
 from divtide.operators.dedup import drop_null_keys, keep_latest
 from divtide.operators.totals import ticker_year_totals, top_changes, with_change, with_previous_year
 from divtide.session import shuffle_partitions
-from divtide.sources.warehouse import replace_table
+from divtide.sources.warehouse import read_raw, replace_table
 
 # Column order of the dimension.
 DIM_COLUMNS = [
@@ -131,3 +132,13 @@ def build_models(spark: SparkSession, raw: DataFrame, database: str, as_of: Day
         "fct_dividend_summary": spark.table(view),
         "fct_dividend_trends": top,
     }
+
+
+def rebuild_after(table: str, database: str, as_of: Day = None) -> Callable[[SparkSession, dict], None]:
+    """For a stream: rebuilds the models from the raw table after each batch that brought rows."""
+
+    def rebuild(spark: SparkSession, counts: dict) -> None:
+        if counts["rows"]:
+            build_models(spark, read_raw(spark, table), database, as_of)
+
+    return rebuild

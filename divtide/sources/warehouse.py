@@ -40,7 +40,29 @@ def read_raw(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table).select(RAW_COLUMNS)
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()["data_type"]
+
+
 def replace_table(df: DataFrame, table: str) -> DataFrame:
-    """Rebuilds a model table and returns it as stored."""
-    df.write.format("parquet").mode("overwrite").saveAsTable(table)
-    return df.sparkSession.table(table)
+    """Rebuilds a model table and returns it as stored.
+
+    The rows are written beside those in use, in the other of two folders; then the table is
+    pointed there. Readers find the old or the new rows, whole, and a failed rebuild changes
+    nothing. A session that has read the table before sees the new rows after `REFRESH TABLE`.
+    """
+    spark = df.sparkSession
+    database, name = table.split(".")
+    exists = spark.catalog.tableExists(table)
+    slot = "b" if exists and table_location(spark, table).endswith("/a") else "a"
+    location = f"{spark.catalog.getDatabase(database).locationUri}/{name}/{slot}"
+    df.write.mode("overwrite").parquet(location)
+    if exists and spark.table(table).dtypes != df.dtypes:
+        spark.sql(f"DROP TABLE {table}")
+        exists = False
+    if exists:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+    else:
+        spark.catalog.createTable(table, location, "parquet")
+    spark.catalog.refreshTable(table)
+    return spark.table(table)

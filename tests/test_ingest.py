@@ -9,8 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from divtide.__main__ import main
 from divtide.operators.normalize import conform, flatten, strict_union
 from divtide.plans.load import Targets, load_batch
+from divtide.plans.models import rebuild_after
 from divtide.plans.run import run_once
 from divtide.schema import BATCH_COLUMN, NOT_NULL_COLUMNS, RAW_COLUMNS, RAW_SCHEMA, TABLE_COLUMNS
 from divtide.sources.history import append_history, new_rows, read_batch, read_history
@@ -24,7 +26,7 @@ from divtide.sources.pages import (
     rejected_pages,
 )
 from divtide.sources.staging_csv import clear_staging, read_staging, write_staging
-from divtide.sources.warehouse import append_raw, create_database, create_raw_table, read_raw, replace_batch
+from divtide.sources.warehouse import append_raw, create_database, create_raw_table, read_raw, replace_batch, replace_table
 from divtide.streaming.ingest import ingest_available, start_ingest
 
 
@@ -223,6 +225,21 @@ def test_raw_table_replaces_a_batch(spark, database):
     assert spark.table(table).columns == [*TABLE_COLUMNS, BATCH_COLUMN]
 
 
+def test_model_table_is_switched_whole(spark, database):
+    table = f"{database}.model"
+    first = replace_table(spark.range(3), table)
+    assert first.count() == 3
+    # The new rows may come from the old ones, and who still reads these is not disturbed.
+    second = replace_table(first.where("id > 0"), table)
+    assert sorted(r["id"] for r in second.collect()) == [1, 2]
+    assert first.count() == 3
+    with pytest.raises(Exception):  # noqa: B017
+        replace_table(spark.sql("SELECT raise_error('lost') AS id"), table)
+    assert spark.table(table).count() == 2
+    assert replace_table(spark.range(1).withColumn("more", F.lit("x")), table).columns == ["id", "more"]
+    assert spark.table(table).count() == 1
+
+
 def targets(tmp_path, database, **options):
     root = tmp_path / "out"
     return Targets(f"{root}/history", f"{root}/rejects", f"{database}.dividends", **options)
@@ -334,3 +351,26 @@ def test_stream_on_a_schedule(spark, tmp_path, database):
     finally:
         stream.stop()
     assert read_raw(spark, to.table).count() == 2
+
+
+def test_stream_rebuilds_the_models(spark, tmp_path, database):
+    to = targets(tmp_path, database)
+    rebuild = rebuild_after(to.table, database, "2024-06-01")
+    for n, (day, stage) in enumerate([("2024-07-01", "announced"), ("2024-05-01", "completed")]):
+        land(tmp_path / "in", f"p{n}", page(dividend("1", pay_date=day, record_date=f"2024-01-0{n + 1}")))
+        ingest_available(spark, str(tmp_path / "in"), to, str(tmp_path / "checkpoint"), after_batch=rebuild)
+        if n:
+            spark.catalog.refreshTable(f"{database}.dim_dividends")
+        dim = spark.table(f"{database}.dim_dividends").collect()
+        assert [(r["dividend_id"], r["dividend_lifecycle_stage"]) for r in dim] == [("1", stage)]
+
+
+def test_command_line(spark, tmp_path):
+    land(tmp_path / "in", "a", page(dividend("1", pay_date="2024-05-01")))
+    name = f"t_{uuid4().hex}"
+    common = ["--database", name, "--out", str(tmp_path / "out"), "--as-of", "2024-06-01"]
+    main(["run", "--landing", str(tmp_path / "in"), *common])
+    main(["models", *common])
+    assert spark.table(f"{name}.fct_dividend_trends").count() == 1
+    with pytest.raises(SystemExit):
+        main(["run", *common])
