@@ -1,4 +1,4 @@
-"""Command line for spark-submit: `ingest` keeps loading pages, `run` does it once, `models` only rebuilds.
+"""Command line: `ingest` keeps loading pages, `run` does it once, `models` only rebuilds.
 
     python -m divtide run --landing s3a://…/pages --out s3a://…/dividends --database dividends
 """

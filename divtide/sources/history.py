@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from divtide.operators.normalize import conform
 from divtide.schema import BATCH_COLUMN, RAW_COLUMNS, all_text
 
-BROADCAST_IDS = 1_000_000
+# Batches of more rows than this are not broadcast, whatever their ids.
+BROADCAST_ROWS = 1_000_000
 
 
 def read_history(spark: SparkSession, *paths: str) -> DataFrame:
@@ -36,17 +37,17 @@ def read_batch(spark: SparkSession, path: str, batch_id: str) -> DataFrame:
     return history.where(F.col(BATCH_COLUMN) == batch_id).select(RAW_COLUMNS)
 
 
-def new_rows(batch: DataFrame, history: DataFrame, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+def new_rows(batch: DataFrame, history: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Rows of `batch` that the history does not hold, each once; NULLs compare as equal.
 
     Rows are compared in all columns, since a later version of the same id must still come in. Both
     sides are grouped together: copies collapse before the one shuffle, so no group of copies is
-    too large. Where the batch has few ids, the history is first cut to them by a broadcast.
+    too large. Where the batch is small, the history is first cut to its ids by a broadcast, so that
+    only few rows of it are shuffled.
     """
     batch, history = conform(batch), conform(history)
-    ids = batch.select("id").distinct()
-    if ids.limit(broadcast_ids + 1).count() <= broadcast_ids:
-        ids = F.broadcast(ids.withColumnRenamed("id", "batch_id"))
+    if batch.count() <= broadcast_rows:
+        ids = F.broadcast(batch.select(F.col("id").alias("batch_id")).distinct())
         history = history.join(ids, F.col("id").eqNullSafe(F.col("batch_id")), "left_semi")
     both = batch.withColumn("held", F.lit(False)).unionByName(history.withColumn("held", F.lit(True)))
     return both.groupBy(RAW_COLUMNS).agg(F.bool_or("held").alias("held")).where("NOT held").drop("held")

@@ -69,7 +69,8 @@ def fallback_people(spark: SparkSession) -> DataFrame:
 
 
 def people(spark: SparkSession, path: str) -> DataFrame:
-    """`(number, craft, name)`, one row per listed person; the fallback if nothing has landed."""
+    """`(number, craft, name)`, one row per listed person; the fallback if no list has landed."""
     if not path_exists(spark, path):
         return fallback_people(spark)
-    return spark.read.schema(PEOPLE_SCHEMA).json(path).select("number", F.inline("people"))
+    lists = spark.read.schema(PEOPLE_SCHEMA).json(path).where("number IS NOT NULL AND people IS NOT NULL")
+    return fallback_people(spark) if lists.isEmpty() else lists.select("number", F.inline("people"))

@@ -123,6 +123,10 @@ def test_people_and_fallback(spark, tmp_path):
     fallback = people(spark, str(tmp_path / "none"))
     assert [(r["craft"], r["name"]) for r in fallback.collect()] == FALLBACK_PEOPLE
     assert {r["number"] for r in fallback.collect()} == {12}
+    land(tmp_path / "broken", "a", "<html>", {"number": 1})
+    assert people(spark, str(tmp_path / "broken")).count() == 12
+    land(tmp_path / "nobody", "a", {"number": 0, "people": []})
+    assert people(spark, str(tmp_path / "nobody")).count() == 0
     land(tmp_path / "in", "a", {"number": 3, "people": [{"craft": "A", "name": "x"}]})
     assert people(spark, str(tmp_path / "in")).collect() == [(3, "A", "x")]
 
@@ -154,8 +158,8 @@ def test_history_of_other_types(spark, tmp_path):
     assert rows["2"]["cash_amount"] == "1.25"
 
 
-@pytest.mark.parametrize("broadcast_ids", [1_000_000, 0])
-def test_new_rows(spark, broadcast_ids):
+@pytest.mark.parametrize("broadcast_rows", [1_000_000, 0])
+def test_new_rows(spark, broadcast_rows):
     history = frame(spark, dividend("1"), dividend("1"), dividend(None), dividend("9"))
     batch = frame(
         spark,
@@ -166,7 +170,7 @@ def test_new_rows(spark, broadcast_ids):
         dividend(None, ticker="X"),
         dividend("2"),
     )
-    new = new_rows(batch, history, broadcast_ids)
+    new = new_rows(batch, history, broadcast_rows)
     assert bag(new) == bag(batch.subtract(history))
     assert new.count() == 3
 

@@ -64,3 +64,15 @@ def test_staged_filter_reaches_the_scan(spark):
 
     text = staging(spark.read.parquet(path)).where("dividend_id = 'D1'")._jdf.queryExecution().toString()
     assert "EqualTo(id,D1)" in text
+
+
+def test_new_rows_shuffle_once_and_combine_copies_first(spark):
+    from divtide.sources.history import append_history, new_rows, read_history
+
+    path = scratch_dir(spark, "history")
+    raw = fx.raw_dividends(spark, SF_DIR)
+    append_history(fx.first_part(raw), path)
+    large = plan(new_rows(raw, read_history(spark, path), broadcast_rows=0))
+    assert exchanges(large) == 1 and "Join" not in large and "partial_max(held" in large
+    small = plan(new_rows(raw, read_history(spark, path)))
+    assert "BroadcastHashJoin" in small and "SortMergeJoin" not in small
