@@ -1,4 +1,4 @@
-"""Command line: `ingest` keeps loading pages, `run` does it once, `models` only rebuilds.
+"""Command line: `ingest` keeps loading pages, `run` does it once, `models` only rebuilds, `check` counts gaps.
 
     python -m divtide run --landing s3a://…/pages --out s3a://…/dividends --database dividends
 """
@@ -7,7 +7,8 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from divtide.plans.models import build_models, rebuild_after
+from divtide.operators.quality import not_null_report
+from divtide.plans.models import build_models, refresh_after
 from divtide.plans.run import run_once, targets_below
 from divtide.sources.warehouse import create_database, read_raw
 from divtide.streaming.ingest import INTERVAL, PAGES_PER_BATCH, start_ingest
@@ -15,7 +16,7 @@ from divtide.streaming.ingest import INTERVAL, PAGES_PER_BATCH, start_ingest
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="divtide", description=__doc__.splitlines()[0])
-    parser.add_argument("command", choices=["ingest", "run", "models"])
+    parser.add_argument("command", choices=["ingest", "run", "models", "check"])
     parser.add_argument("--database", required=True, help="catalog database of the raw table and the models")
     parser.add_argument("--out", required=True, help="shared folder for history, rejects, staging, checkpoint, tables")
     parser.add_argument("--landing", help="shared folder into which pages land")
@@ -23,8 +24,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--multi-line", action="store_true", help="each file is one page")
     parser.add_argument("--interval", default=INTERVAL, help="how often to look for pages")
     parser.add_argument("--max-files", type=int, default=PAGES_PER_BATCH, help="files per batch; 0 for all")
+    parser.add_argument("--only-new", action="store_true", help="do not store rows that the history holds already")
     options = parser.parse_args(argv)
-    if options.command != "models" and not options.landing:
+    if options.command in ("ingest", "run") and not options.landing:
         parser.error("--landing is required")
     return options
 
@@ -32,14 +34,22 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 def main(argv: list[str] | None = None) -> None:
     options = arguments(argv)
     spark = SparkSession.builder.appName("divtide").getOrCreate()
-    targets = targets_below(options.out, options.database)
+    targets = targets_below(options.out, options.database, only_new=options.only_new)
     if options.command == "run":
         _, counts = run_once(
-            spark, options.landing, options.out, options.database, options.as_of, multi_line=options.multi_line
+            spark,
+            options.landing,
+            options.out,
+            options.database,
+            options.as_of,
+            multi_line=options.multi_line,
+            only_new=options.only_new,
         )
         print(counts)
     elif options.command == "models":
-        build_models(spark, read_raw(spark, targets.table), options.database, options.as_of)
+        build_models(read_raw(spark, targets.table), options.database, options.as_of)
+    elif options.command == "check":
+        not_null_report(spark.table(f"{options.database}.stg_stock_dividends")).show(truncate=False)
     else:
         create_database(spark, options.database, f"{options.out}/warehouse")
         start_ingest(
@@ -49,7 +59,7 @@ def main(argv: list[str] | None = None) -> None:
             f"{options.out}/checkpoint",
             max_files=options.max_files,
             interval=options.interval,
-            after_batch=rebuild_after(targets.table, options.database, options.as_of),
+            after_batch=refresh_after(targets.table, options.database, options.as_of),
             multi_line=options.multi_line,
         ).awaitTermination()
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from divtide.functions import blank_null_tokens
 from divtide.schema import BATCH_COLUMN, CORRUPT_COLUMN
-from divtide.sources.history import append_history, read_batch
-from divtide.sources.pages import page_rows, rejected_pages
+from divtide.sources.history import append_history, new_rows, other_batches, read_batch
+from divtide.sources.pages import page_rows, path_exists, rejected_pages
 from divtide.sources.staging_csv import clear_staging, read_staging, write_staging
 from divtide.sources.warehouse import replace_batch
 
@@ -18,7 +18,8 @@ class Targets:
     """Where a batch goes: folders for history and rejected pages, and the raw table.
 
     With a `staging` folder the table is loaded from staged CSV files, in which `null_tokens` count
-    as missing; without one it is loaded from the history.
+    as missing; without one it is loaded from the history. With `only_new`, rows that the history
+    already holds in every column are not stored again.
     """
 
     history: str
@@ -26,6 +27,7 @@ class Targets:
     table: str
     staging: str | None = None
     null_tokens: tuple[str, ...] = ("",)
+    only_new: bool = False
 
 
 def load_batch(pages: DataFrame, targets: Targets, batch_id: str) -> dict:
@@ -40,8 +42,10 @@ def load_batch(pages: DataFrame, targets: Targets, batch_id: str) -> dict:
     read, stored = Observation(), Observation()
     corrupt = F.count_if(F.col(CORRUPT_COLUMN).isNotNull())
     seen = pages.observe(read, F.count(F.lit(1)).alias("pages"), corrupt.alias("rejected_pages"))
-    rows = page_rows(seen).observe(stored, F.count(F.lit(1)).alias("rows"))
-    append_history(rows, targets.history, batch_id)
+    rows = page_rows(seen)
+    if targets.only_new and path_exists(spark, targets.history):
+        rows = new_rows(rows, other_batches(spark, targets.history, batch_id))
+    append_history(rows.observe(stored, F.count(F.lit(1)).alias("rows")), targets.history, batch_id)
     counts = {"batch": batch_id, **read.get, **stored.get}
     if counts["rejected_pages"]:
         rejects = rejected_pages(pages).write.mode("overwrite")

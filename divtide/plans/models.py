@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from divtide.functions import as_date, as_double, as_long, clean_text, frequency_label, lifecycle_stage
 from divtide.operators.dedup import drop_null_keys, keep_latest
+from divtide.operators.normalize import conform
 from divtide.operators.totals import ticker_year_totals, top_changes, with_change, with_previous_year
 from divtide.session import shuffle_partitions
 from divtide.sources.warehouse import read_raw, replace_table
@@ -48,11 +49,16 @@ def clean_columns(latest: DataFrame) -> DataFrame:
     )
 
 
+def staged(latest: DataFrame, as_of: Day = None, loaded_at: Column | None = None) -> DataFrame:
+    """The latest raw rows typed, with their lifecycle stage on the day `as_of`."""
+    stamp = F.current_timestamp() if loaded_at is None else loaded_at
+    typed = clean_columns(latest).withColumn("loaded_at", stamp)
+    return typed.withColumn("dividend_lifecycle_stage", lifecycle_stage(as_of))
+
+
 def staging(raw: DataFrame, as_of: Day = None, loaded_at: Column | None = None) -> DataFrame:
-    """One typed row per dividend, with its lifecycle stage on the day `as_of`."""
-    typed = clean_columns(keep_latest(drop_null_keys(raw)))
-    stamped = typed.withColumn("loaded_at", F.current_timestamp() if loaded_at is None else loaded_at)
-    return stamped.withColumn("dividend_lifecycle_stage", lifecycle_stage(as_of))
+    """One typed row per dividend, from the latest of its raw rows."""
+    return staged(keep_latest(drop_null_keys(raw)), as_of, loaded_at)
 
 
 def dimension(stg: DataFrame) -> DataFrame:
@@ -115,16 +121,18 @@ def trends(dim: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
-def build_models(spark: SparkSession, raw: DataFrame, database: str, as_of: Day = None) -> dict[str, DataFrame]:
-    """Rebuilds staging, dimension and trends as tables and the summary as a view.
+def store_models(stg: DataFrame, database: str) -> dict[str, DataFrame]:
+    """Staging, dimension and trends as tables, the summary as a view.
 
     Each model reads the stored table before it, so no work is done twice and a lost executor
     costs at most one stage.
     """
-    stg = replace_table(staging(raw, as_of), f"{database}.stg_stock_dividends")
+    spark = stg.sparkSession
+    stg = replace_table(stg, f"{database}.stg_stock_dividends")
     dim = replace_table(dimension(stg), f"{database}.dim_dividends")
     view = f"{database}.fct_dividend_summary"
-    spark.sql(f"CREATE OR REPLACE VIEW {view} AS {summary_sql(f'{database}.dim_dividends', shuffle_partitions(spark))}")
+    query = summary_sql(f"{database}.dim_dividends", shuffle_partitions(spark))
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS {query}")
     top = replace_table(trends(dim), f"{database}.fct_dividend_trends")
     return {
         "stg_stock_dividends": stg,
@@ -134,11 +142,37 @@ def build_models(spark: SparkSession, raw: DataFrame, database: str, as_of: Day
     }
 
 
-def rebuild_after(table: str, database: str, as_of: Day = None) -> Callable[[SparkSession, dict], None]:
-    """For a stream: rebuilds the models from the raw table after each batch that brought rows."""
+def build_models(raw: DataFrame, database: str, as_of: Day = None) -> dict[str, DataFrame]:
+    """Rebuilds every model from all raw rows."""
+    return store_models(staging(raw, as_of), database)
+
+
+def refresh_models(new: DataFrame, database: str, as_of: Day = None) -> dict[str, DataFrame]:
+    """Brings the models up to date with `new` raw rows, without reading the older ones.
+
+    A table of the latest raw row per id stands for all rows merged so far. Keeping the latest is a
+    maximum, so the order of merging does not matter and merging rows again changes nothing.
+    """
+    spark, table = new.sparkSession, f"{database}.dividends_latest"
+    rows = drop_null_keys(conform(new))
+    if spark.catalog.tableExists(table):
+        rows = rows.unionByName(spark.table(table))
+    latest = replace_table(keep_latest(rows), table)
+    return store_models(staged(latest, as_of), database)
+
+
+def refresh_after(table: str, database: str, as_of: Day = None) -> Callable[[SparkSession, dict], None]:
+    """For a stream: brings the models up to date after each batch that brought rows.
+
+    The first time, all rows of the raw table are merged, so none loaded otherwise is missed; then
+    only those of the batch. Run one such stream per table.
+    """
+    merged_all = False
 
-    def rebuild(spark: SparkSession, counts: dict) -> None:
+    def refresh(spark: SparkSession, counts: dict) -> None:
+        nonlocal merged_all
         if counts["rows"]:
-            build_models(spark, read_raw(spark, table), database, as_of)
+            refresh_models(read_raw(spark, table, counts["batch"] if merged_all else None), database, as_of)
+            merged_all = True
 
-    return rebuild
+    return refresh

@@ -264,5 +264,6 @@ ORACLES = {
             }.items()
         ),
     ),
+    "model_refresh": sql(*DIM_CHAIN, select="SELECT * FROM dim"),
     "single_run": sql(*CHANGE_CHAIN, TRENDS, select="SELECT * FROM trends"),
 }

@@ -16,7 +16,15 @@ from divtide.operators.quality import batch_metrics, not_null_report
 from divtide.operators.totals import ticker_year_totals, with_change, with_previous_year
 from divtide.plans import fixtures as fx
 from divtide.plans.load import Targets
-from divtide.plans.models import build_models, clean_columns, dimension, staging, summary, trends
+from divtide.plans.models import (
+    build_models,
+    clean_columns,
+    dimension,
+    refresh_models,
+    staging,
+    summary,
+    trends,
+)
 from divtide.plans.run import run_once
 from divtide.schema import RAW_COLUMNS
 from divtide.session import scratch_dir
@@ -331,13 +339,21 @@ def not_null_checks(spark, sf_dir):
 @query("model_build")
 def model_build(spark, sf_dir):
     """The models as stored tables and view; rows of each."""
-    models = build_models(spark, fx.raw_dividends(spark, sf_dir), database(spark), fx.AS_OF)
+    models = build_models(fx.raw_dividends(spark, sf_dir), database(spark), fx.AS_OF)
     return reduce(
         DataFrame.unionByName,
         [df.agg(F.lit(name).alias("relation"), F.count("*").alias("row_count")) for name, df in models.items()],
     )
 
 
+@query("model_refresh")
+def model_refresh(spark, sf_dir):
+    """The dimension after its rows came in two parts, the second merged without reading the first."""
+    raw, name = fx.raw_dividends(spark, sf_dir), database(spark)
+    refresh_models(fx.first_part(raw), name, fx.AS_OF)
+    return refresh_models(fx.other_part(raw), name, fx.AS_OF)["dim_dividends"].drop("loaded_at")
+
+
 @query("single_run")
 def single_run(spark, sf_dir):
     """Pages to models in one run; the top changes as stored."""

@@ -32,4 +32,4 @@ def run_once(
     create_database(spark, database, f"{out}/warehouse")
     create_raw_table(spark, targets.table, by_batch=True)
     counts = load_batch(read_pages(spark, landing, multi_line), targets, run_id or uuid4().hex)
-    return build_models(spark, read_raw(spark, targets.table), database, as_of), counts
+    return build_models(read_raw(spark, targets.table), database, as_of), counts

@@ -31,10 +31,18 @@ def append_history(batch: DataFrame, path: str, batch_id: str | None = None) ->
         write.option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COLUMN).parquet(path)
 
 
+def batches(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(all_text([*RAW_COLUMNS, BATCH_COLUMN])).parquet(path)
+
+
 def read_batch(spark: SparkSession, path: str, batch_id: str) -> DataFrame:
     """The rows that one batch added, read from its partition only."""
-    history = spark.read.schema(all_text([*RAW_COLUMNS, BATCH_COLUMN])).parquet(path)
-    return history.where(F.col(BATCH_COLUMN) == batch_id).select(RAW_COLUMNS)
+    return batches(spark, path).where(F.col(BATCH_COLUMN) == batch_id).select(RAW_COLUMNS)
+
+
+def other_batches(spark: SparkSession, path: str, batch_id: str) -> DataFrame:
+    """The rows that all other batches added."""
+    return batches(spark, path).where(F.col(BATCH_COLUMN) != batch_id).select(RAW_COLUMNS)
 
 
 def new_rows(batch: DataFrame, history: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -1,6 +1,7 @@
 """The raw table and the model tables in the Spark catalog."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from divtide.operators.normalize import conform
 from divtide.schema import BATCH_COLUMN, RAW_COLUMNS, TABLE_COLUMNS
@@ -36,8 +37,12 @@ def replace_batch(batch: DataFrame, table: str, batch_id: str) -> None:
     )
 
 
-def read_raw(spark: SparkSession, table: str) -> DataFrame:
-    return spark.table(table).select(RAW_COLUMNS)
+def read_raw(spark: SparkSession, table: str, batch_id: str | None = None) -> DataFrame:
+    """The rows of the raw table, or those of one batch read from its partition only."""
+    rows = spark.table(table)
+    if batch_id is not None:
+        rows = rows.where(F.col(BATCH_COLUMN) == batch_id)
+    return rows.select(RAW_COLUMNS)
 
 
 def table_location(spark: SparkSession, table: str) -> str:

@@ -20,9 +20,13 @@ AfterBatch = Callable[[SparkSession, dict], None]
 
 
 def page_stream(
-    spark: SparkSession, landing: str, max_files: int | None = None, multi_line: bool = False
+    spark: SparkSession,
+    landing: str,
+    max_files: int | None = None,
+    multi_line: bool = False,
+    source_options: dict[str, str] | None = None,
 ) -> DataFrame:
-    reader = spark.readStream.schema(PAGE_SCHEMA).option("multiLine", multi_line)
+    reader = spark.readStream.schema(PAGE_SCHEMA).options(multiLine=multi_line, **(source_options or {}))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.json(landing)
@@ -37,12 +41,14 @@ def start_ingest(
     interval: str | None = INTERVAL,
     after_batch: AfterBatch | None = None,
     multi_line: bool = False,
+    source_options: dict[str, str] | None = None,
 ) -> StreamingQuery:
     """Starts loading pages as they land in the folder `landing`.
 
     Without `interval` the stream takes what is there and ends. `max_files` limits how many files
     one batch takes; the others wait for the next. `after_batch` gets the session and the counts
-    once a batch is stored, for example to rebuild the models.
+    once a batch is stored, for example `refresh_after` of the models. `source_options` go to Spark's
+    file source, for example `cleanSource` to move loaded pages away and keep the listing short.
     """
     create_raw_table(spark, targets.table, by_batch=True)
 
@@ -57,7 +63,7 @@ def start_ingest(
 
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return (
-        page_stream(spark, landing, max_files, multi_line)
+        page_stream(spark, landing, max_files, multi_line, source_options)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)

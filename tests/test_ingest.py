@@ -2,17 +2,21 @@
 
 import json
 from collections import Counter
+from functools import reduce
 from pathlib import Path
 from uuid import uuid4
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from divtide.__main__ import main
 from divtide.operators.normalize import conform, flatten, strict_union
 from divtide.plans.load import Targets, load_batch
-from divtide.plans.models import rebuild_after
+from divtide.plans.models import dimension, refresh_after, refresh_models, staging
 from divtide.plans.run import run_once
 from divtide.schema import BATCH_COLUMN, NOT_NULL_COLUMNS, RAW_COLUMNS, RAW_SCHEMA, TABLE_COLUMNS
 from divtide.sources.history import append_history, new_rows, read_batch, read_history
@@ -30,6 +34,9 @@ from divtide.sources.warehouse import append_raw, create_database, create_raw_ta
 from divtide.streaming.ingest import ingest_available, start_ingest
 
 
+few = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
 def dividend(key, **fields):
     row = dict.fromkeys(RAW_COLUMNS)
     return {**row, "id": key, "ticker": "ABC", "cash_amount": "1.25", **fields}
@@ -357,24 +364,61 @@ def test_stream_on_a_schedule(spark, tmp_path, database):
     assert read_raw(spark, to.table).count() == 2
 
 
-def test_stream_rebuilds_the_models(spark, tmp_path, database):
+def test_stream_refreshes_the_models(spark, tmp_path, database):
     to = targets(tmp_path, database)
-    rebuild = rebuild_after(to.table, database, "2024-06-01")
-    for n, (day, stage) in enumerate([("2024-07-01", "announced"), ("2024-05-01", "completed")]):
-        land(tmp_path / "in", f"p{n}", page(dividend("1", pay_date=day, record_date=f"2024-01-0{n + 1}")))
-        ingest_available(spark, str(tmp_path / "in"), to, str(tmp_path / "checkpoint"), after_batch=rebuild)
+    create_raw_table(spark, to.table, by_batch=True)
+    replace_batch(frame(spark, dividend("0")), to.table, "loaded otherwise")
+    refresh = refresh_after(to.table, database, "2024-06-01")
+    days = ["2024-07-01", "2024-05-01", "2024-08-01"]
+    versions = ["2024-01-01", "2024-01-03", "2024-01-02"]
+    stages = ["announced", "completed", "completed"]
+    for n, stage in enumerate(stages):
+        row = dividend("1", pay_date=days[n], record_date=versions[n])
+        land(tmp_path / "in", f"p{n}", page(row, dividend(f"other{n}")))
+        ingest_available(spark, str(tmp_path / "in"), to, str(tmp_path / "checkpoint"), after_batch=refresh)
         if n:
             spark.catalog.refreshTable(f"{database}.dim_dividends")
-        dim = spark.table(f"{database}.dim_dividends").collect()
-        assert [(r["dividend_id"], r["dividend_lifecycle_stage"]) for r in dim] == [("1", stage)]
+        dim = {r["dividend_id"]: r["dividend_lifecycle_stage"] for r in spark.table(f"{database}.dim_dividends").collect()}
+        assert dim["1"] == stage
+        assert set(dim) == {"0", "1", *(f"other{k}" for k in range(n + 1))}
+
+
+@few
+@given(st.lists(st.lists(st.tuples(st.sampled_from([None, "a", "b"]), st.sampled_from([None, "1", "2"])), max_size=4), max_size=3))
+def test_refresh_equals_rebuild(spark, tmp_path, parts):
+    name = f"t_{uuid4().hex}"
+    create_database(spark, name, str(tmp_path / name))
+    frames = [frame(spark, *(dividend(i, record_date=d, cash_amount=str(n)) for n, (i, d) in enumerate(p))) for p in [[], *parts]]
+    for part in frames:
+        models = refresh_models(part, name, "2024-06-01")
+    everything = dimension(staging(reduce(DataFrame.unionByName, frames), "2024-06-01"))
+    columns = [c for c in everything.columns if c != "loaded_at"]
+    got = Counter(map(tuple, models["dim_dividends"].select(columns).collect()))
+    assert got == Counter(map(tuple, everything.select(columns).collect()))
+
+
+def test_only_new_rows_are_stored(spark, tmp_path, database):
+    to = targets(tmp_path, database, only_new=True)
+    create_raw_table(spark, to.table, by_batch=True)
+    land(tmp_path / "a", "a", page(dividend("1"), dividend("2")))
+    land(tmp_path / "b", "b", page(dividend("1"), dividend("2", ticker="NEW"), dividend("3")))
+    a, b = (read_pages(spark, str(tmp_path / name)) for name in "ab")
+    assert load_batch(a, to, "a")["rows"] == 2
+    for _ in range(2):
+        assert load_batch(b, to, "b") == {"batch": "b", "pages": 1, "rejected_pages": 0, "rows": 2}
+    stored = sorted((r["id"], r["ticker"]) for r in read_raw(spark, to.table).collect())
+    assert stored == [("1", "ABC"), ("2", "ABC"), ("2", "NEW"), ("3", "ABC")]
+    assert [r["id"] for r in read_raw(spark, to.table, "a").orderBy("id").collect()] == ["1", "2"]
 
 
-def test_command_line(spark, tmp_path):
+def test_command_line(spark, tmp_path, capsys):
     land(tmp_path / "in", "a", page(dividend("1", pay_date="2024-05-01")))
     name = f"t_{uuid4().hex}"
     common = ["--database", name, "--out", str(tmp_path / "out"), "--as-of", "2024-06-01"]
     main(["run", "--landing", str(tmp_path / "in"), *common])
     main(["models", *common])
+    main(["check", *common])
+    assert "ex_dividend_date" in capsys.readouterr().out
     assert spark.table(f"{name}.fct_dividend_trends").count() == 1
     with pytest.raises(SystemExit):
         main(["run", *common])
