@@ -1,5 +1,6 @@
 """Storing one batch of landed pages, shared by single runs and the stream."""
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from divtide.functions import blank_null_tokens
 from divtide.schema import BATCH_COLUMN, CORRUPT_COLUMN
 from divtide.sources.history import append_history, new_rows, other_batches, read_batch
-from divtide.sources.pages import page_rows, path_exists, rejected_pages
+from divtide.sources.pages import page_rows, rejected_pages
 from divtide.sources.staging_csv import clear_staging, read_staging, write_staging
 from divtide.sources.warehouse import replace_batch
 
@@ -38,12 +39,14 @@ def load_batch(pages: DataFrame, targets: Targets, batch_id: str) -> dict:
     are parsed once, for the history; what follows reads its new partition. Only where pages were
     rejected are they read once more. If loading the table fails, the staged files stay.
     """
+    if not re.fullmatch(r"[\w.-]+", batch_id):
+        raise ValueError(f"a batch id names a folder: {batch_id!r}")
     spark = pages.sparkSession
     read, stored = Observation(), Observation()
     corrupt = F.count_if(F.col(CORRUPT_COLUMN).isNotNull())
     seen = pages.observe(read, F.count(F.lit(1)).alias("pages"), corrupt.alias("rejected_pages"))
     rows = page_rows(seen)
-    if targets.only_new and path_exists(spark, targets.history):
+    if targets.only_new:
         rows = new_rows(rows, other_batches(spark, targets.history, batch_id))
     append_history(rows.observe(stored, F.count(F.lit(1)).alias("rows")), targets.history, batch_id)
     counts = {"batch": batch_id, **read.get, **stored.get}

@@ -26,7 +26,6 @@ from divtide.plans.models import (
     trends,
 )
 from divtide.plans.run import run_once
-from divtide.schema import RAW_COLUMNS
 from divtide.session import scratch_dir
 from divtide.sources.history import append_history, new_rows, read_history
 from divtide.sources.pages import page_rows, people, read_nested, read_pages

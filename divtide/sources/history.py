@@ -2,6 +2,7 @@
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +33,14 @@ def append_history(batch: DataFrame, path: str, batch_id: str | None = None) ->
 
 
 def batches(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(all_text([*RAW_COLUMNS, BATCH_COLUMN])).parquet(path)
+    """The history with the batch of each row; no rows if there is none yet."""
+    schema = all_text([*RAW_COLUMNS, BATCH_COLUMN])
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def read_batch(spark: SparkSession, path: str, batch_id: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Landed JSON pages: an object with `results` (an array of objects) and perhaps `next_url`."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,11 +59,6 @@ def read_nested(spark: SparkSession, path: str, schema: T.StructType | None = No
     return flatten(reader.json(path).select(F.inline("results")))
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
-
-
 def fallback_people(spark: SparkSession) -> DataFrame:
     people = spark.createDataFrame(FALLBACK_PEOPLE, PERSON_SCHEMA)
     return people.select(F.lit(FALLBACK_NUMBER).alias("number"), "craft", "name")
@@ -70,7 +66,11 @@ def fallback_people(spark: SparkSession) -> DataFrame:
 
 def people(spark: SparkSession, path: str) -> DataFrame:
     """`(number, craft, name)`, one row per listed person; the fallback if no list has landed."""
-    if not path_exists(spark, path):
-        return fallback_people(spark)
-    lists = spark.read.schema(PEOPLE_SCHEMA).json(path).where("number IS NOT NULL AND people IS NOT NULL")
-    return fallback_people(spark) if lists.isEmpty() else lists.select("number", F.inline("people"))
+    try:
+        lists = spark.read.schema(PEOPLE_SCHEMA).json(path).where("number IS NOT NULL AND people IS NOT NULL")
+        landed = not lists.isEmpty()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        landed = False
+    return lists.select("number", F.inline("people")) if landed else fallback_people(spark)

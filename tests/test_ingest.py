@@ -268,6 +268,11 @@ def test_load_batch_counts_and_can_be_repeated(spark, tmp_path, database):
     assert spark.read.json(to.rejects).select("page").collect() == [("no json",)]
 
 
+def test_batch_id_must_name_a_folder(spark, tmp_path, database):
+    with pytest.raises(ValueError):
+        load_batch(no_rows(spark), targets(tmp_path, database), "../b'1")
+
+
 def test_failed_load_keeps_the_staged_rows(spark, tmp_path, database):
     land(tmp_path / "in", "a", page(dividend("1")))
     to = targets(tmp_path, database, staging=str(tmp_path / "staging"))
