@@ -34,7 +34,7 @@ from divtide.sources.warehouse import append_raw, create_database, create_raw_ta
 from divtide.streaming.ingest import ingest_available, start_ingest
 
 
-few = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+few = settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 def dividend(key, **fields):
