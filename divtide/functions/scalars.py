@@ -52,7 +52,7 @@ def as_long(column: Column) -> Column:
     """Text to whole number, rounding `4.0` or `4.7`; NULL where it is none.
 
     Always by way of a decimal: trying bigint first is slower, as it raises inside for every text that
-    is none (with two in seven such, labelling 600,000 rows took 4.1 s instead of 0.8 s).
+    is none (with two in seven such, labelling 600,000 rows took 4.1 s against 0.8 s and 1.8 s).
     """
     return F.round(column.try_cast("decimal(38,10)"), 0).try_cast("bigint")
 
