@@ -5,10 +5,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from divtide.llm import quality_rules
+from divtide.llm import packing, quality_rules, sharding, token_counts
 from divtide.llm.common import documents
 from divtide.llm.sql import RULES_SQL
 
+
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -26,3 +33,19 @@ def query(name: str, sql: str | None = None):
 @query("op9_rule_ledger", RULES_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(quality_rules.ledger(documents(spark, sf_dir)))
+
+
+@query("op2_external_shuffle")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.external_shuffle(documents(spark, sf_dir), n_shards=40).drop("record")
+
+
+@query("op4_token_counts")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir), tokenizer("piece_bpe_32k.model"))
+
+
+@query("op10_best_fit_packing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"), with_ids=False)
+    return packing.pack(cut).drop("ids")
