@@ -15,7 +15,6 @@ by and match nothing; NULL or empty texts match nothing. NULL ids are carried. A
 matched once for each row, a repeated item once for each item row. Other columns of either table are not read.
 """
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from divtide.llm.bitmap import bitmap, marked, opened
 from divtide.llm.common import stored, whole_text
 from divtide.llm.shingles import SIZE, shingle_runs
 
 THRESHOLD = 0.8
-BITS = 26  # the bitmap has 2**BITS bits, 8 MB
 
 
 def partition_of(n: int) -> int:
@@ -82,23 +81,6 @@ def item_index(items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return read.mapInArrow(sketch, ITEM_SCHEMA).withColumn("item", F.monotonically_increasing_id())
 
 
-def bitmap(prints: DataFrame) -> bytes:
-    """The top BITS bits of all fingerprints in column `print`, as a packed bitmap; 2**(BITS - 6) rows at most."""
-    place = F.shiftrightunsigned("print", 64 - BITS)
-    bit = F.expr("shiftleft(1L, cast(place & 63 as int))")
-    words = prints.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
-    packed = np.zeros(1 << (BITS - 6), np.int64)
-    for row in words.collect():
-        packed[row["word"]] = row["bits"]
-    return packed.tobytes()
-
-
-def marked(packed: np.ndarray, prints: np.ndarray) -> np.ndarray:
-    """Which fingerprints the bitmap marks."""
-    place = prints >> np.uint64(64 - BITS)
-    return (packed[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
-
-
 HIT_SCHEMA = "doc_id long, doc_key binary, hits array<long>"
 
 
@@ -111,10 +93,10 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -
     index = stored(item_index(items, threshold), "items")
     sketches = index.select("item", F.explode("sketch").alias("print"))
     every = index.select(F.explode("shingles").alias("print"))
-    shared = spark.sparkContext.broadcast(tuple(zlib.compress(bitmap(x), 1) for x in (sketches, every)))
+    shared = spark.sparkContext.broadcast((bitmap(sketches), bitmap(every)))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, rest = (np.frombuffer(zlib.decompress(x), np.uint64) for x in shared.value)
+        first, rest = map(opened, shared.value)
         for batch in batches:
             texts = [x.lower() for x in batch.column(2).to_pylist()]
             rows, hits = [], []

@@ -5,9 +5,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from divtide.llm import packing, quality_rules, sharding, token_counts
-from divtide.llm.common import documents
-from divtide.llm.sql import RULES_SQL
+from divtide.llm import (
+    decontaminate,
+    html_layout,
+    jaccard_join,
+    line_templates,
+    maxent_lm,
+    packing,
+    quality_rules,
+    sharding,
+    token_counts,
+    toxicity,
+)
+from divtide.llm.common import documents, table
+from divtide.llm.sql import CONTAINMENT_SQL, JACCARD_SQL, RULES_SQL, TEMPLATES_SQL
 
 
 def tokenizer(name: str) -> str:
@@ -35,6 +46,39 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(quality_rules.ledger(documents(spark, sf_dir)))
 
 
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.Model(docs, table(spark, sf_dir, "labels")).score(docs)
+
+
+@query("op3_html_layout")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_layout.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op5_maxent_lm")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return maxent_lm.Model(docs).score(docs)
+
+
+@query("op6_line_templates", TEMPLATES_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_templates.dedup_lines(documents(spark, sf_dir))
+    return kept.select(F.col("row.doc_id").alias("doc_id"), "text", "n_lines", "n_dropped")
+
+
+@query("op7_containment_search", CONTAINMENT_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained(documents(spark, sf_dir), table(spark, sf_dir, "benchmark")).drop("doc_key")
+
+
+@query("op8_jaccard_join", JACCARD_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(documents(spark, sf_dir)).drop("doc_key")
+
+
 @query("op2_external_shuffle")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.external_shuffle(documents(spark, sf_dir), n_shards=40).drop("record")

@@ -28,3 +28,59 @@ b as (select *, cast(case when n_words < 50 then 1 else 0 end
       + case when 2 * n_letters < word_chars then 128 else 0 end as bigint) as fail_bits from m)
 select *, 'v2' as policy, (fail_bits & 3) <> 0 as base_failed, fail_bits = 0 as kept from b
 """
+
+CONTAINMENT_SQL = r"""
+with it as (select row_number() over () as i, item_id, regexp_extract_all(lower("text"), '[^ \t-\r]+') as ws from benchmark),
+isg as (select distinct i, item_id, array_to_string(ws[k:k + 4], ' ') as g
+        from (select i, item_id, ws, unnest(range(1, len(ws) - 3)) as k from it where len(ws) >= 5)),
+n as (select i, item_id, count(*) as n from isg group by all),
+d as (select row_number() over () as r, doc_id, regexp_extract_all(lower("text"), '[^ \t-\r]+') as ws from documents),
+dsg as (select distinct r, doc_id, array_to_string(ws[k:k + 4], ' ') as g
+        from (select r, doc_id, ws, unnest(range(1, len(ws) - 3)) as k from d where len(ws) >= 5)),
+c as (select r, doc_id, i, count(*) as n_both from dsg join isg using (g) group by all)
+select doc_id, item_id, cast(n as bigint) as n_shingles, cast(n_both as bigint) as n_shared,
+       round(cast(n_both as double) / n, 6) as containment
+from c join n using (i) where n_both >= ceil(0.8 * n - 1e-9)
+"""
+
+JACCARD_SQL = r"""
+with recursive
+d as (select row_number() over () as r, doc_id, regexp_extract_all(coalesce("text", ''), '[^ \t-\r]+') as ws from documents),
+s as (select distinct r, g from (
+        select r, array_to_string(ws[k:k + 4], ' ') as g
+        from (select r, ws, unnest(range(1, len(ws) - 3)) as k from d where len(ws) >= 5)
+        union all select r, 'all ' || array_to_string(ws, ' ') from d where len(ws) between 1 and 4)),
+n as (select r, count(*) as n from s group by r),
+b as (select x.r as a, y.r as b, count(*) as n_both from s x join s y on x.g = y.g and x.r <> y.r group by all),
+l as (select a, b from b join n na on na.r = a join n nb on nb.r = b where n_both >= 0.8 * (na.n + nb.n - n_both) - 1e-9),
+reach as (select r as a, r as b from d union select reach.a, l.b from reach join l on l.a = reach.b),
+cls as (select reach.a as r, min(d.doc_id) as class_id from reach join d on d.r = reach.b group by reach.a),
+k as (select a as r, count(*) as n_links from l group by a)
+select d.doc_id, cls.class_id, cast(coalesce(k.n_links, 0) as bigint) as n_links
+from d join cls using (r) left join k using (r)
+"""
+
+TEMPLATES_SQL = r"""
+with d as (select row_number() over () as r, doc_id, coalesce("text", '') as x,
+           md5(coalesce(cast(doc_id as varchar), '') || chr(10) || coalesce("text", '')) as ident from documents),
+p as (select r, doc_id, ident, unnest(string_split(x, chr(10))) as line, unnest(range(1, len(string_split(x, chr(10))) + 1)) as no from d),
+w as (select r, doc_id, ident, no, line,
+      regexp_extract_all(regexp_replace(line, '[^ \t-\r]*[0-9@][^ \t-\r]*', '<*>', 'g'), '[^ \t-\r]+') as ws from p),
+m as (select *, len(ws) as n, array_to_string(ws, ' ') as masked, array_to_string(ws[1:4], ' ') as lead from w where len(ws) > 0),
+counted as (select n, lead, masked, any_value(ws) as ws, count(distinct ident) as docs from m group by n, lead, masked),
+leaf as (select n, lead, sum(docs) as leaf_docs from counted group by n, lead
+         having count(*) > 1 and sum(docs) >= case when n >= 16 then 2 else 8 end),
+places as (select n, lead, masked, docs, leaf_docs, unnest(ws) as token, unnest(range(1, len(ws) + 1)) as pos
+           from counted join leaf using (n, lead)),
+common as (select n, lead, pos, token from places group by n, lead, pos, token having 2 * sum(docs) > any_value(leaf_docs)),
+alike as (select n, lead, masked from places join common using (n, lead, pos, token)
+          group by n, lead, masked having count(*) >= 0.6 * n - 1e-9),
+owned as (select m.*, case when alike.masked is null then m.masked else '' end as own
+          from m left join alike on alike.n = m.n and alike.lead = m.lead and alike.masked = m.masked),
+recurring as (select n, lead, own, first(ident order by doc_id nulls last, ident) as keeper from owned
+              group by n, lead, own having count(distinct ident) >= case when n >= 16 then 2 else 8 end),
+lost as (select r, no from owned join recurring using (n, lead, own) where ident <> keeper)
+select doc_id, coalesce(string_agg(line, chr(10) order by no) filter (where lost.no is null), '') as "text",
+       cast(count(*) filter (where x <> '') as bigint) as n_lines, cast(count(lost.no) as bigint) as n_dropped
+from (select p.*, d.x from p join d using (r)) q left join lost using (r, no) group by r, doc_id
+"""
