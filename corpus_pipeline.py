@@ -1,17 +1,50 @@
-"""Raw documents to packed training sequences."""
+"""Raw documents to packed training sequences, in five stages.
+
+Each stage works on all that the one before it kept. Stages return the columns of documents; the last returns
+the pieces of the packed sequences.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
 
-from divtide.llm import quality_rules
-from divtide.llm.common import documents, stored
+from divtide.llm import decontaminate, jaccard_join, line_templates, packing, quality_rules
+from divtide.llm.common import documents, stored, table
+from divtide.llm.registry import tokenizer
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the current policy rejects go."""
+    """Documents that the current policy of the quality rules rejects go."""
     return quality_rules.keep_good(docs)
 
 
-STAGES = [("quality rules", quality_stage)]
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines whose template recurs across documents go, but for the first document that has them."""
+    return line_templates.without_recurring_lines(docs)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return jaccard_join.keep_one(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Tokenised pieces in their sequences."""
+    cut = packing.pieces(docs, tokenizer("byte_bpe_50k.json"), with_ids=False)
+    return packing.pack(cut).drop("ids")
+
+
+STAGES = [
+    ("quality rules", quality_stage),
+    ("line dedup", line_stage),
+    ("n-gram jaccard join", near_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("packing", packing_stage),
+]
+# Byte-pair tokens and best-fit packing are beyond SQL.
 ORACLE_SQL = None
 
 

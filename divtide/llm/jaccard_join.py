@@ -206,7 +206,11 @@ def verify(units: DataFrame, threshold: float, tolerance: float) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
-    """One row per document row: doc_id, doc_key, class_id, n_links (other rows at the threshold or above)."""
+    """One row per document row: doc_id, doc_key, class_id, n_links (other rows at the threshold or above), class_node.
+
+    `doc_key` is the MD5 of the text. `class_node` tells classes apart even where ids repeat or are NULL; it is
+    NULL for texts without words.
+    """
     signed = stored(signatures(docs), "signatures")
     # Equal texts become one node. The key is short, so copies are combined before the shuffle.
     copies = signed.where("signature is not null").groupBy("doc_key").agg(
@@ -252,27 +256,32 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     named = named.withColumn("root", F.coalesce("root", "node"))
     names = named.groupBy("root").agg(F.min("first_doc").alias("class_id"))
     n_links = F.coalesce("links", F.lit(0)) + F.col("copies") - 1
-    known = stored(named.join(names, "root").select("doc_key", "class_id", n_links.alias("n_links")), "classes")
+    known = stored(named.join(names, "root").select("doc_key", "class_id", n_links.alias("n_links"), F.col("root").alias("class_node")), "classes")
     result = signed.select("doc_id", "doc_key", "n_shingles").join(known, "doc_key", "left")
     return result.select(
         "doc_id",
         "doc_key",
         F.when(F.col("n_shingles") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        "class_node",
     )
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One document of each class, the one with the least doc_id (then the least text key), all its columns.
 
-    Documents without words are all kept, except repeated rows: rows with the same id and text are one document.
+    Rows with the same id and text are one document. Documents without words are classes of their own.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    classes = near_duplicates(docs, threshold)
-    first = classes.groupBy("class_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "doc_key")).alias("first"))
-    empty = F.unhex(F.md5(F.lit("")))
-    del empty
-    winners = stored(first.select("first.doc_id", "first.doc_key"), "winners")
-    keyed_rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(whole_text("text"))).alias("doc_key"), row.alias("row"))
-    kept = keyed_rows.join(winners, (keyed_rows["doc_id"].eqNullSafe(winners["doc_id"])) & (keyed_rows["doc_key"] == winners["doc_key"]), "left_semi")
+    # Read twice, so written: a class must not come out differently the second time.
+    classes = stored(near_duplicates(docs, threshold).select("doc_id", "doc_key", "class_node"), "memberships")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "doc_key")
+    first = classes.where("class_node is not null").groupBy("class_node").agg(F.min(order).alias("first"))
+    wordless = classes.where("class_node is null").select("doc_id", "doc_key").distinct()
+    winners = stored(first.select("first.doc_id", "first.doc_key").unionByName(wordless), "winners")
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(whole_text("text"))).alias("doc_key"), row.alias("row")
+    )
+    same = rows["doc_id"].eqNullSafe(winners["doc_id"]) & (rows["doc_key"] == winners["doc_key"])
+    kept = rows.join(winners, same, "left_semi")
     return kept.groupBy("doc_id", "doc_key").agg(F.first("row").alias("row")).select("row.*")

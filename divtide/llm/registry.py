@@ -76,7 +76,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_jaccard_join", JACCARD_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.near_duplicates(documents(spark, sf_dir)).drop("doc_key")
+    return jaccard_join.near_duplicates(documents(spark, sf_dir)).drop("doc_key", "class_node")
 
 
 @query("op2_external_shuffle")

@@ -11,6 +11,7 @@ each. Without labels of both kinds the score is the share of toxic labels, 0 if
 """
 
 import string
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -63,6 +64,7 @@ FEATURES = [
 ]
 FEATURE_SCHEMA = ", ".join(["doc_id long", "toxic double", *[f"{name} double" for name in FEATURES]])
 PREFIXES = (3, 4, 5, 6)
+CONTEXTS = 62  # bits that tell contexts apart
 
 
 def core(word: str) -> str:
@@ -161,36 +163,45 @@ def features(rows: DataFrame, lexicon: tuple[frozenset[str], frozenset[str]]) ->
     return rows.select("doc_id", "text", "toxic").mapInArrow(compute, FEATURE_SCHEMA)
 
 
-TERM_SCHEMA = "term string, toxic_docs long, clean_docs long"
+TERM_SCHEMA = "term string, toxic_docs long, clean_docs long, contexts long"
 TERMS_HELD = 1_000_000
 
 
 def term_counts(rows: DataFrame) -> DataFrame:
-    """In how many toxic and clean texts each term stands; counted in each task first."""
+    """In how many toxic and clean texts each term stands, and after which words in toxic ones.
+
+    `contexts` has a bit per hash of the word before, so that a term which only copies of one text share does
+    not look like one that many texts share. Counted in each task first.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, list[int]] = {}
 
         def flush() -> pa.RecordBatch:
-            columns = [list(counts), [x[1] for x in counts.values()], [x[0] for x in counts.values()]]
+            names = pa.array(list(counts), pa.string())
+            columns = [pa.array([x[i] for x in counts.values()], pa.int64()) for i in range(3)]
             counts.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.string()), *[pa.array(c, pa.int64()) for c in columns[1:]]],
-                names=["term", "toxic_docs", "clean_docs"],
-            )
+            return pa.RecordBatch.from_arrays([names, columns[1], columns[0], columns[2]], names=["term", "toxic_docs", "clean_docs", "contexts"])
 
         for batch in batches:
             for text, toxic in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                words = {core(w) for w in set(text.split())}
-                words.discard("")
-                for term in {t for w in words for t in terms(w)}:
-                    counts.setdefault(term, [0, 0])[int(toxic > 0)] += 1
+                words = [core(w) for w in text.split()]
+                found = dict.fromkeys((t for w in set(words) if w for t in terms(w)), 0)
+                if toxic:
+                    for before, word in zip(["", *words], words):
+                        bit = 1 << zlib.crc32(before.encode("utf-8", "surrogatepass")) % CONTEXTS
+                        for term in terms(word) if word else ():
+                            found[term] |= bit
+                for term, bits in found.items():
+                    entry = counts.setdefault(term, [0, 0, 0])
+                    entry[int(toxic > 0)] += 1
+                    entry[2] |= bits
                 if len(counts) > TERMS_HELD:
                     yield flush()
         yield flush()
 
-    sums = [F.sum(c).alias(c) for c in ("toxic_docs", "clean_docs")]
-    return rows.select("doc_id", "text", "toxic").mapInArrow(count, TERM_SCHEMA).groupBy("term").agg(*sums)
+    counted = rows.select("doc_id", "text", "toxic").mapInArrow(count, TERM_SCHEMA).groupBy("term")
+    return counted.agg(F.sum("toxic_docs").alias("toxic_docs"), F.sum("clean_docs").alias("clean_docs"), F.bit_or("contexts").alias("contexts"))
 
 
 def learn_lexicon(rows: DataFrame, most: int = 2000) -> tuple[frozenset[str], frozenset[str]]:
@@ -201,7 +212,10 @@ def learn_lexicon(rows: DataFrame, most: int = 2000) -> tuple[frozenset[str], fr
     n = rows.agg(F.count(F.when(F.col("toxic") > 0, 1)).alias("toxic"), F.count(F.when(F.col("toxic") == 0, 1)).alias("clean")).first()
     if not n["toxic"] or not n["clean"]:
         return frozenset(), frozenset()
-    t, c = F.col("toxic_docs"), F.col("clean_docs")
+    # So many contexts a bitmap with that many bits set has had, as far as it can tell.
+    bits = F.bit_count("contexts")
+    contexts = F.when(bits < CONTEXTS, -CONTEXTS * F.log(1 - bits / CONTEXTS)).otherwise(F.col("toxic_docs"))
+    t, c = F.least(F.col("toxic_docs").cast("double"), contexts), F.col("clean_docs")
     odds = F.log((t + 0.5) / (n["toxic"] - t + 0.5)) - F.log((c + 0.5) / (n["clean"] - c + 0.5))
     sure = F.col("odds") / F.sqrt(1 / (t + 0.5) + 1 / (c + 0.5))
     scored = term_counts(rows).where(t >= 3).withColumn("odds", odds).withColumn("sure", sure)
