@@ -11,8 +11,10 @@ Defined cases: a NULL or empty text is a document of the end token alone. A NULL
 rows are packed one by one. An empty table gives no rows. Other columns of the input are not read.
 """
 
+import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,44 +29,62 @@ SEQUENCE = 2048
 END_ID = 1
 WINDOWS = 4096  # of tokens that one group has
 PIECES = 200_000  # that one group has at most, on average
-REMEMBERED = 300_000  # words whose ids a worker keeps
+REMEMBERED = 200_000  # words whose ids a worker keeps
 WORD_START = re.compile(r" (?=\S)")
 ODD_SPACE = re.compile(r" (?:\s|$)")
+# Fixed value: how byte-level vocabularies of this kind split a text before merging.
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 
 
-class Tokens:
+def byte_of_character() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for.
+
+    Printable Latin-1 stands for itself, the other bytes in order for the characters from 256 on.
+    """
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {**{chr(b): b for b in plain}, **{chr(256 + i): b for i, b in enumerate(others)}}
+
+
+class Tokens(dict):
     """The ids of whole texts as little-endian unsigned 32-bit numbers.
 
     The byte-level pattern never joins a space that precedes a word to what is before it, so a text can be cut
-    there and the ids of its parts strung together. Parts recur, so a worker remembers them.
+    there and the ids of its parts strung together. Parts recur, so the dictionary remembers them, without
+    their space. New parts are merged by tiktoken under the vocabulary of the given file, whose ids are the
+    ranks of its merges; texts with a special string go through the file's own library, as it handles those.
     """
 
     def __init__(self, model: bytes):
-        from tokenizers import Tokenizer
+        import tiktoken
+
+        spec = json.loads(model)
+        self.model, self.library = model, None
+        self.special = [t["content"] for t in spec["added_tokens"]]
+        byte = byte_of_character()
+        ranks = {bytes(byte[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in self.special}
+        self.merge = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) > REMEMBERED:
+            self.clear()
+        found = self[word] = array("I", self.merge(" " + word)).tobytes()
+        return found
 
-        self.library = Tokenizer.from_buffer(model)
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+    def slowly(self, text: str) -> bytes:
+        if self.library is None:
+            from tokenizers import Tokenizer
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+            self.library = Tokenizer.from_buffer(self.model)
+        return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
     def ids(self, text: str) -> bytes:
         if any(s in text for s in self.special):
-            return self.encode([text])[0]
-        words = WORD_START.split(text) if ODD_SPACE.search(text) else text.split(" ")
-        first = self.encode(words[:1])[0]
-        del words[0]
-        try:
-            return first + b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            new = list(set(words).difference(self.known))
-            self.known.update(zip(new, self.encode([" " + w for w in new])))
-            return first + b"".join(map(self.known.__getitem__, words))
+            return self.slowly(text)
+        words = iter(WORD_START.split(text) if ODD_SPACE.search(text) else text.split(" "))
+        first = array("I", self.merge(next(words))).tobytes()
+        return first + b"".join(map(self.__getitem__, words))
 
 
 TOKENS: dict[int, Tokens] = {}  # one for each model, kept while a worker lives
