@@ -123,7 +123,10 @@ def measure(docs: DataFrame) -> DataFrame:
         "n_capitals": matches(text, r"\p{Lu}"),
         "n_exclamations": matches(text, "!"),
     }
-    return split.select("doc_id", *[value.cast("long").alias(name) for name, value in measures.items()])
+    # Generating the one row keeps the optimiser from copying these expressions into a later filter, where they
+    # would be computed again for each rule and the words split again for each window.
+    row = F.struct(*[value.cast("long").alias(name) for name, value in measures.items()])
+    return split.select("doc_id", F.inline(F.array(row)))
 
 
 def ledger(docs: DataFrame) -> DataFrame:
