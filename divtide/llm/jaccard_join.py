@@ -176,15 +176,15 @@ UNIT_SCHEMA = "node long, links long, root long"
 def verify(units: DataFrame, threshold: float, tolerance: float) -> DataFrame:
     """Node, links and root for each unit of work; units arrive whole and in order within a partition."""
 
-    def flush(held: list, first_side: int) -> pa.RecordBatch | None:
+    def flush(held: list, low: int, high: int) -> pa.RecordBatch:
         unit = {}
         for side, node, copies, values, text in held:
             unit.setdefault((side, node), (copies, np.frombuffer(values, np.uint32), text))
         keys = sorted(unit)
         sets = dict(shingle_sets([unit[k][2] for k in keys]))
         nodes = [(unit[k][0], unit[k][1], sets[i]) for i, k in enumerate(keys)]
-        split = sum(side == first_side for side, _ in keys)
-        links, ties = pair_links(nodes[:split], nodes[split:] or None, threshold, tolerance)
+        split = sum(side == low for side, _ in keys)
+        links, ties = pair_links(nodes[:split], nodes[split:] if low != high else None, threshold, tolerance)
         # Positions are not in the order of the nodes, so any of them serves as root.
         rows = [(keys[i][1], int(links[i]), keys[r][1]) for i, r in ties]
         columns = list(zip(*rows)) if rows else ((), (), ())
@@ -196,11 +196,11 @@ def verify(units: DataFrame, threshold: float, tolerance: float) -> DataFrame:
             for row in zip(*[c.to_pylist() for c in batch.columns]):
                 if row[:3] != current:
                     if held:
-                        yield flush(held, current[1])
+                        yield flush(held, *current[1:])
                     current, held = row[:3], []
                 held.append(row[3:])
         if held:
-            yield flush(held, current[1])
+            yield flush(held, *current[1:])
 
     return units.mapInArrow(work, UNIT_SCHEMA)
 

@@ -5,8 +5,8 @@ words and word beginnings mark toxic texts, one the trees, one the calibration.
 lexicon does on texts it was not learned from, and the calibration how trees do on texts new to them.
 
 Defined cases: a NULL or empty text has all features 0 and is scored like any other. A NULL doc_id is carried,
-is held out and matches no label. Repeated rows are scored one by one. Ids with several labels count once for
-each. Without labels of both kinds the score is the share of toxic labels, 0 if there is none. `labels` and
+is held out and matches no label. Repeated rows are scored one by one. An id with several labels is toxic if
+one of them says so. Without labels of both kinds the score is the share of toxic labels, 0 if there is none. `labels` and
 `documents` may have other columns; only doc_id, text and toxic are read.
 """
 
@@ -233,12 +233,13 @@ class Model:
     def __init__(self, docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS):
         fold = F.crc32(F.col("doc_id").cast("string")) % FOLDS
         known = labels.where("toxic is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("double").alias("toxic"))
-        known = known.withColumn("fold", fold).where(F.col("fold") != HELD_OUT)
+        known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("fold", fold).where(F.col("fold") != HELD_OUT)
         sizes = {r["fold"]: r["count"] for r in known.groupBy("fold").count().collect()}
         share = F.element_at(F.create_map(*[F.lit(x) for k in (0, 1, 3) for x in (k, min(1.0, fit_rows / max(1, sizes.get(k, 0))))]), F.col("fold").cast("int"))
         chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20))
         texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text("text").alias("text"))
-        rows = stored(texts.join(chosen, "doc_id"), "labelled")
+        # At most about three times `fit_rows` short rows, each id once, so no text is shuffled to meet its label.
+        rows = stored(texts.join(F.broadcast(chosen), "doc_id"), "labelled")
         self.rate = rows.agg(F.coalesce(F.avg("toxic"), F.lit(0.0)).alias("rate")).first()["rate"]
         self.lexicon = learn_lexicon(rows.where(F.col("fold") == LEXICON_FOLD))
         self.assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")

@@ -1,0 +1,56 @@
+import re
+from html import unescape
+
+import pytest
+
+from divtide.llm.html_layout import extract, render
+
+CASES = {
+    "": "",
+    "plain text": "plain text",
+    "<p>one<p>two": "one\n\ntwo",
+    "a<br>b<br/>c": "a\nb\nc",
+    "<ul><li>a<li>b<ol start=3><li>x<li>y</ol><li>c</ul>": "- a\n- b\n  3. x\n  4. y\n- c",
+    "<table><tr><th>Name<th>Qty<tr><td>apple<td>3<tr><td>watermelon<td>12</table>": "Name        Qty\napple       3\nwatermelon  12",
+    "<table><tr><td colspan=2>wide<td>z<tr><td>a<td>b<td>c</table>": "wide     z\na     b  c",
+    "<pre>\n a\n  b</pre>x": " a\n  b\n\nx",
+    "<head><title>t</title></head><script>var x='</p>'</script><style>p{}</style>seen<!-- no -->": "seen",
+    "<div style='display: NONE'>no<p>no</div><span hidden>no</span><b aria-hidden=true>no</b>yes": "yes",
+    "<div hidden>no<br>no<img>no</div>yes": "yes",
+    "<title>no</title><p>yes": "yes",
+    "<dl><dt>t<dd>d<dt>u</dl>": "t\n  d\nu",
+    "a &amp; b &lt;c&gt; &#233; &nosuch;": "a & b <c> é &nosuch;",
+    "x</p></div></td>y": "xy",
+    "<p>a <b>b</b>  c\n d</p>": "a b c d",
+    "<div>a</div><div>b</div><hr>c": "a\nb\n---\nc",
+    "<table><tr><td>a<table><tr><td>in<td>ner</table><td>b</table>": "a in  ner  b",
+}
+
+
+@pytest.mark.parametrize("html", CASES)
+def test_layout(html):
+    assert render(html) == CASES[html]
+
+
+def test_depth_and_junk():
+    assert render("<div>" * 20_000 + "deep") == "deep"
+    assert render("<table><tr><td>" * 200 + "x").split() == ["x"]
+    assert render(None) == ""
+    assert "after" in render("before <![if x]> after")
+    assert render("<" * 500 + "p>text")
+
+
+def test_all_visible_words_come_out(spark):
+    """Against another way to the same words: the given pages have no hidden elements but these."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    html = {r["page_id"]: r["html"] for r in pages.collect()}
+    for r in extract(pages).collect():
+        bare = re.sub(r"(?s)<(head|script|style)\b.*?</\1>|<!--.*?-->|<!DOCTYPE[^>]*>", " ", html[r["page_id"]])
+        words = unescape(re.sub(r"<[^>]*>", " ", bare)).split()
+        assert [w for w in re.sub(r"(?m)^ *(- |\d+\. )", "", r["text"]).split()] == words
+
+
+def test_rows(spark):
+    rows = [(1, "<p>a"), (1, "<p>a"), (None, "b"), (2, None), (3, "")]
+    out = extract(spark.createDataFrame(rows, "page_id long, html string").selectExpr("*", "'x' as text")).collect()
+    assert sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in out) == [(0, "b", 1), (1, "a", 1), (1, "a", 1), (2, "", 0), (3, "", 0)]

@@ -1,0 +1,51 @@
+from divtide.llm.line_templates import dedup_lines, without_recurring_lines
+from tests.llm.conftest import EDGES, prose
+
+LONG = prose(11, 55)
+
+
+def texts(out):
+    return {r["doc_id"]: (r["text"], r["n_dropped"]) for r in out.selectExpr("row.doc_id as doc_id", "text", "n_dropped").collect()}
+
+
+def test_passages_and_fields(frame):
+    rows = [(i, f"{prose(100 + i, 30)}\n{LONG}\nPosted on day {i} by user{i}\n\nseen once {chr(97 + i) * 5} here") for i in range(9)]
+    out = texts(dedup_lines(frame(rows)))
+    assert out[0] == (rows[0][1], 0)
+    for i in range(1, 9):
+        lines = rows[i][1].split("\n")
+        # The passage and the masked line go; `seen once ... here` is a template with one free word.
+        assert out[i] == ("\n".join([lines[0], lines[3]]) if out[i][1] == 3 else "\n".join([lines[0], lines[3], lines[4]]), out[i][1])
+        assert out[i][1] >= 2
+
+
+def test_templates_with_free_words(frame):
+    names = [prose(700 + i, 1) for i in range(12)]
+    line = "the order of customer {} was sent to the town of {} last week"
+    rows = [(i, f"{prose(900 + i, 40)}\n{line.format(a, a[::-1])}") for i, a in enumerate(names)]
+    rows += [(50, "the order of customer service changed completely when nobody ever expected it to")]
+    out = texts(dedup_lines(frame(rows)))
+    assert out[0][1] == 0 and out[50][1] == 0
+    assert all(out[i] == (rows[i][1].split("\n")[0], 1) for i in range(1, 12))
+
+
+def test_short_lines_need_more_documents(frame):
+    rows = [(i, f"{prose(i + 40, 20)}\nshort line here") for i in range(7)]
+    assert all(n == 0 for _, n in texts(dedup_lines(frame(rows))).values())
+    rows.append((7, "short line here"))
+    assert [n for _, n in sorted(texts(dedup_lines(frame(rows))).values())].count(1) == 7
+
+
+def test_within_one_document_nothing_recurs(frame):
+    text = "\n".join([LONG] * 30)
+    assert texts(dedup_lines(frame([(1, text)])))[1] == (text, 0)
+    # Repeated rows are one document.
+    assert texts(dedup_lines(frame([(1, text), (1, text)])))[1] == (text, 0)
+
+
+def test_edges(frame):
+    docs = frame(EDGES)
+    out = without_recurring_lines(docs)
+    assert out.schema.names == docs.schema.names
+    assert sorted(r["text"] for r in out.collect()) == sorted(t or "" for _, t in EDGES)
+    assert dedup_lines(frame([])).count() == 0
