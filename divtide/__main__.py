@@ -1,9 +1,10 @@
-"""Command line: `ingest` keeps loading pages, `run` does it once, `models` only rebuilds, `check` counts gaps.
+"""Command line: `ingest` keeps loading pages, `run` does it once, `models` only rebuilds, `check` fails on gaps.
 
     python -m divtide run --landing s3a://…/pages --out s3a://…/dividends --database dividends
 """
 
 import argparse
+import sys
 
 from pyspark.sql import SparkSession
 
@@ -11,7 +12,7 @@ from divtide.operators.quality import not_null_report
 from divtide.plans.models import build_models, refresh_after
 from divtide.plans.run import run_once, targets_below
 from divtide.sources.warehouse import create_database, read_raw
-from divtide.streaming.ingest import INTERVAL, PAGES_PER_BATCH, start_ingest
+from divtide.streaming.ingest import INTERVAL, start_ingest
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -23,8 +24,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--as-of", help="day for the lifecycle stage (default: today)")
     parser.add_argument("--multi-line", action="store_true", help="each file is one page")
     parser.add_argument("--interval", default=INTERVAL, help="how often to look for pages")
-    parser.add_argument("--max-files", type=int, default=PAGES_PER_BATCH, help="files per batch; 0 for all")
+    parser.add_argument("--max-files", type=int, default=0, help="files per batch (default: all)")
     parser.add_argument("--only-new", action="store_true", help="do not store rows that the history holds already")
+    parser.add_argument("--run-id", help="a run done again under its id replaces what it stored")
+    parser.add_argument("--csv-staging", action="store_true", help="load the table by way of staged CSV files")
     options = parser.parse_args(argv)
     if options.command in ("ingest", "run") and not options.landing:
         parser.error("--landing is required")
@@ -34,7 +37,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 def main(argv: list[str] | None = None) -> None:
     options = arguments(argv)
     spark = SparkSession.builder.appName("divtide").getOrCreate()
-    targets = targets_below(options.out, options.database, only_new=options.only_new)
+    targets = targets_below(options.out, options.database, options.csv_staging, only_new=options.only_new)
     if options.command == "run":
         _, counts = run_once(
             spark,
@@ -42,14 +45,19 @@ def main(argv: list[str] | None = None) -> None:
             options.out,
             options.database,
             options.as_of,
+            run_id=options.run_id,
             multi_line=options.multi_line,
             only_new=options.only_new,
+            csv_staging=options.csv_staging,
         )
         print(counts)
     elif options.command == "models":
         build_models(read_raw(spark, targets.table), options.database, options.as_of)
     elif options.command == "check":
-        not_null_report(spark.table(f"{options.database}.stg_stock_dividends")).show(truncate=False)
+        report = not_null_report(spark.table(f"{options.database}.stg_stock_dividends"))
+        report.show(truncate=False)
+        if not report.where("failures > 0").isEmpty():
+            sys.exit(1)
     else:
         create_database(spark, options.database, f"{options.out}/warehouse")
         start_ingest(

@@ -42,10 +42,16 @@ def clean_text(column: Column) -> Column:
     return F.upper(F.trim(column))
 
 
-def as_date(column: Column, strict: bool = False) -> Column:
-    """Text to date, NULL where it is none. `strict` also rejects a bare year or year-month."""
-    value = column.try_cast("date")
-    return F.when(column.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}"), value) if strict else value
+# A whole date, perhaps with a time of day after it.
+DATE_FORM = (
+    r"^\s*\d{4}-\d{1,2}-\d{1,2}"
+    r"([T ]([01]?\d|2[0-3]):[0-5]?\d(:[0-5]?\d(\.\d*)?)?\s*(Z|UTC|[+-]\d{1,2}(:?\d{2})?)?)?\s*$"
+)
+
+
+def as_date(column: Column) -> Column:
+    """Text to date, NULL where it is none: a bare year or month is none, nor is a date with other text after it."""
+    return F.when(column.rlike(DATE_FORM), column.try_cast("date"))
 
 
 def as_long(column: Column) -> Column:

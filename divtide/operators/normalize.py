@@ -21,7 +21,7 @@ def conform(df: DataFrame, columns: list[str] = RAW_COLUMNS) -> DataFrame:
 
 
 def flatten(df: DataFrame) -> DataFrame:
-    """Nested objects as dotted columns; arrays stay as they are."""
+    """Nested objects as dotted columns; arrays stay as they are. Fails if two columns would share a name."""
 
     def leaves(schema: T.StructType, path: tuple[str, ...] = ()) -> Iterator[Column]:
         for field in schema:
@@ -31,7 +31,11 @@ def flatten(df: DataFrame) -> DataFrame:
             else:
                 yield F.col(".".join(f"`{part}`" for part in here)).alias(".".join(here))
 
-    return df.select(list(leaves(df.schema)))
+    flat = df.select(list(leaves(df.schema)))
+    twice = {c for c in flat.columns if flat.columns.count(c) > 1}
+    if twice:
+        raise ValueError(f"dotted and nested columns give the same name: {sorted(twice)}")
+    return flat
 
 
 def union_rows(history: DataFrame, batch: DataFrame) -> DataFrame:

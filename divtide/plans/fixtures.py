@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from divtide.schema import RAW_COLUMNS
 
 AS_OF = "1999-06-30"
+LATER = "2000-01-31"
 FREQUENCIES = ["1", "2", "4", "12", "4.0", "x"]  # by line number; a seventh line has none
 PAGE_ROWS = 1_000
 PEOPLE_PER_PAYLOAD = 64
@@ -73,6 +74,28 @@ def land_pages(rows: DataFrame, path: str, files: int | None = None) -> None:
     (pages.repartition(files) if files else pages).write.mode("append").json(path)
 
 
+def land_empty_pages(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """A page without rows for each order."""
+    table(spark, sf_dir, "orders").select(F.lit('{"status":"OK","results":[]}').alias("page")).write.text(path)
+
+
+def odd_page(key: Column) -> Column:
+    """By order key: a good page, `results` that is a text, an object, has a number in it, or a page cut off."""
+    k = key.cast("string")
+    forms = [
+        F.concat(F.lit('{"status":"OK","results":[{"id":"'), k, F.lit('"}]}')),
+        F.concat(F.lit('{"status":"OK","results":"'), k, F.lit('"}')),
+        F.concat(F.lit('{"status":"OK","results":{"id":"'), k, F.lit('"}}')),
+        F.concat(F.lit('{"status":"OK","results":[{"id":"'), k, F.lit('"},7]}')),
+        F.concat(F.lit('{"status":"OK","results":[{"id":"'), k, F.lit('"')),
+    ]
+    return F.get(F.array(*forms), (key % len(forms)).cast("int"))
+
+
+def land_odd_pages(spark: SparkSession, sf_dir: str, path: str) -> None:
+    table(spark, sf_dir, "orders").select(odd_page(F.col("o_orderkey")).alias("page")).write.text(path)
+
+
 def land_people(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Writes customers as lists of people; keys are unique, so a list has `PEOPLE_PER_PAYLOAD` at most."""
     payload = F.expr(f"c_custkey div {PEOPLE_PER_PAYLOAD}")

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from divtide.functions import blank_null_tokens
-from divtide.schema import BATCH_COLUMN, CORRUPT_COLUMN
-from divtide.sources.history import append_history, new_rows, other_batches, read_batch
+from divtide.schema import CORRUPT_COLUMN
+from divtide.sources.history import append_history, batch_folder, new_rows, other_batches, read_batch
 from divtide.sources.pages import page_rows, rejected_pages
 from divtide.sources.staging_csv import clear_staging, read_staging, write_staging
 from divtide.sources.warehouse import replace_batch
@@ -50,15 +50,31 @@ def load_batch(pages: DataFrame, targets: Targets, batch_id: str) -> dict:
         rows = new_rows(rows, other_batches(spark, targets.history, batch_id))
     append_history(rows.observe(stored, F.count(F.lit(1)).alias("rows")), targets.history, batch_id)
     counts = {"batch": batch_id, **read.get, **stored.get}
-    if counts["rejected_pages"]:
-        rejects = rejected_pages(pages).write.mode("overwrite")
-        rejects.json(f"{targets.rejects}/{BATCH_COLUMN}={batch_id}")
+    store_rejects(pages, batch_folder(targets.rejects, batch_id), counts["rejected_pages"])
 
     rows = read_batch(spark, targets.history, batch_id)
     if targets.staging:
-        write_staging(rows, targets.staging)
-        rows = blank_null_tokens(read_staging(spark, targets.staging), list(targets.null_tokens))
+        # A folder for each batch, so that two loads at once do not meet.
+        staging = batch_folder(targets.staging, batch_id)
+        write_staging(rows, staging)
+        rows = blank_null_tokens(read_staging(spark, staging), list(targets.null_tokens))
     replace_batch(rows, targets.table, batch_id)
     if targets.staging:
-        clear_staging(spark, targets.staging)
+        clear_staging(spark, staging)
     return counts
+
+
+def store_rejects(pages: DataFrame, folder: str, expected: int) -> None:
+    """Stores the rejected pages of a batch in place of those it stored before.
+
+    Fails if they are not as many as were counted while loading, so that none is lost in silence.
+    """
+    rejects = rejected_pages(pages)
+    if not expected:
+        # Nothing to read again; an earlier try may have left some.
+        pages.sparkSession.createDataFrame([], rejects.schema).write.mode("overwrite").json(folder)
+        return
+    written = Observation()
+    rejects.observe(written, F.count(F.lit(1)).alias("n")).write.mode("overwrite").json(folder)
+    if written.get["n"] != expected:
+        raise RuntimeError(f"{expected} pages were rejected, but {written.get['n']} could be stored in {folder}")

@@ -65,18 +65,19 @@ def dimension(stg: DataFrame) -> DataFrame:
     return stg.withColumn("dividend_frequency", frequency_label(F.col("frequency"))).select(DIM_COLUMNS)
 
 
-# Groups of more rows than this are cut into chunks of this size. Small, because AQE may put very many
-# groups into one task: a group is a few bytes however many rows it stands for.
+# Groups are cut into chunks of at most so many rows, and chunks are dealt to tasks: a group is a few bytes
+# however many rows it stands for, so tasks must not be sized by the bytes of groups.
 CHUNK_ROWS = 4_096
+# Rows that a task of the stored view puts out, on average.
+ROWS_PER_TASK = 1_000_000
 
 
 def summary_sql(dim: str, partitions: int, chunk_rows: int = CHUNK_ROWS) -> str:
     """One row per dividend of `dim` with the totals of its (ticker, pay year, record date).
 
     The result has group-level columns only, so instead of a window, which would sort a whole group
-    in one task, the groups are aggregated (combined before the shuffle) and each result is then
-    repeated once per row of its group. Groups above `chunk_rows` are spread as chunks over
-    `partitions` tasks first.
+    in one task, the groups are aggregated (combined before the shuffle), cut into chunks that are
+    dealt to `partitions` tasks, and repeated there once per row of the group.
     """
     return f"""
     WITH totals AS (
@@ -89,16 +90,9 @@ def summary_sql(dim: str, partitions: int, chunk_rows: int = CHUNK_ROWS) -> str:
       GROUP BY ticker, year(pay_date), record_date
     ), chunks AS (
       SELECT /*+ REPARTITION({partitions}, ticker, pay_year, record_date, chunk) */ *
-      FROM (
-        SELECT *, explode(sequence(0, (n - 1) div {chunk_rows})) AS chunk
-        FROM totals WHERE n > {chunk_rows}
-      )
+      FROM (SELECT *, explode(sequence(0, (n - 1) div {chunk_rows})) AS chunk FROM totals)
     ), repeated AS (
-      SELECT *, explode(sequence(1, n)) AS copy
-      FROM totals WHERE n <= {chunk_rows}
-      UNION ALL
-      SELECT * EXCEPT (chunk), explode(sequence(1, least({chunk_rows}, n - chunk * {chunk_rows}))) AS copy
-      FROM chunks
+      SELECT *, explode(sequence(1, least({chunk_rows}, n - chunk * {chunk_rows}))) AS copy FROM chunks
     )
     SELECT ticker, total_dividend_amount_of_year, average_dividend_amount_of_year,
       last_pay_date_of_year, first_pay_date_of_year
@@ -131,7 +125,9 @@ def store_models(stg: DataFrame, database: str) -> dict[str, DataFrame]:
     stg = replace_table(stg, f"{database}.stg_stock_dividends")
     dim = replace_table(dimension(stg), f"{database}.dim_dividends")
     view = f"{database}.fct_dividend_summary"
-    query = summary_sql(f"{database}.dim_dividends", shuffle_partitions(spark))
+    # As many tasks as the view has rows to put out, counted for each build (from the files' footers).
+    partitions = max(shuffle_partitions(spark), -(-dim.count() // ROWS_PER_TASK))
+    query = summary_sql(f"{database}.dim_dividends", partitions)
     spark.sql(f"CREATE OR REPLACE VIEW {view} AS {query}")
     top = replace_table(trends(dim), f"{database}.fct_dividend_trends")
     return {
@@ -162,17 +158,17 @@ def refresh_models(new: DataFrame, database: str, as_of: Day = None) -> dict[str
 
 
 def refresh_after(table: str, database: str, as_of: Day = None) -> Callable[[SparkSession, dict], None]:
-    """For a stream: brings the models up to date after each batch that brought rows.
+    """For a stream: brings the models up to date after each batch, whether it brought rows or not.
 
     The first time, all rows of the raw table are merged, so none loaded otherwise is missed; then
-    only those of the batch. Run one such stream per table.
+    only those of the batch. A batch without rows still moves the lifecycle stages to its day. Run
+    one such stream per table.
     """
     merged_all = False
 
     def refresh(spark: SparkSession, counts: dict) -> None:
         nonlocal merged_all
-        if counts["rows"]:
-            refresh_models(read_raw(spark, table, counts["batch"] if merged_all else None), database, as_of)
-            merged_all = True
+        refresh_models(read_raw(spark, table, counts["batch"] if merged_all else None), database, as_of)
+        merged_all = True
 
     return refresh

@@ -196,6 +196,18 @@ ORACLES = {
         FIRST,
         select="SELECT * FROM first_part UNION ALL (SELECT * FROM raw EXCEPT SELECT * FROM first_part)",
     ),
+    "batch_repeat": sql(
+        RAW,
+        OTHER,
+        select="SELECT *, 'history' AS sink FROM other_part UNION ALL SELECT *, 'table' AS sink FROM other_part",
+    ),
+    "rejected_pages": """
+        SELECT CASE o_orderkey % 5
+          WHEN 1 THEN '{"status":"OK","results":"' || o_orderkey || '"}'
+          WHEN 2 THEN '{"status":"OK","results":{"id":"' || o_orderkey || '"}}'
+          WHEN 3 THEN '{"status":"OK","results":[{"id":"' || o_orderkey || '"},7]}'
+          ELSE '{"status":"OK","results":[{"id":"' || o_orderkey || '"' END AS page
+        FROM orders WHERE o_orderkey % 5 <> 0""",
     "union_all": sql(RAW, FIRST, select="SELECT * FROM raw UNION ALL SELECT * FROM first_part"),
     "strict_union": ALL_RAW,
     "staging_csv_roundtrip": ALL_RAW,
@@ -227,8 +239,12 @@ ORACLES = {
     "clean_strings": sql(
         RAW, select="SELECT id, upper(trim(ticker)) AS ticker, upper(trim(currency)) AS currency FROM raw"
     ),
+    # Of the declaration dates only those without other text after them are dates.
     "typed_casts": sql(
-        *TYPED_CHAIN, select="SELECT * EXCLUDE (ticker, currency, dividend_type) FROM typed"
+        *TYPED_CHAIN,
+        select="""SELECT * EXCLUDE (ticker, currency, dividend_type) REPLACE (
+          CASE WHEN ticker <> 'NA' AND NOT frequency IN (1, 2) IS TRUE THEN declaration_date END AS declaration_date)
+        FROM typed""",
     ),
     "lifecycle_stage": sql(*TYPED_CHAIN, STAGED, select="SELECT * FROM stg"),
     "frequency_label": sql(*TYPED_CHAIN, select=f"SELECT dividend_id, frequency, {LABEL} FROM typed"),
@@ -264,6 +280,16 @@ ORACLES = {
             }.items()
         ),
     ),
+    "stored_summary": sql(*DIM_CHAIN, SUMMARY, select="SELECT * FROM summary"),
+    "stage_refresh": sql(
+        *DIM_CHAIN,
+        select="""SELECT * REPLACE (CASE
+          WHEN pay_date <= DATE '2000-01-31' THEN 'completed'
+          WHEN ex_dividend_date <= DATE '2000-01-31' AND pay_date > DATE '2000-01-31' THEN 'awaiting_payment'
+          WHEN ex_dividend_date > DATE '2000-01-31' THEN 'upcoming'
+          WHEN declaration_date IS NULL THEN 'announced'
+          ELSE 'in_progress' END AS dividend_lifecycle_stage) FROM dim""",
+    ),
     "model_refresh": sql(*DIM_CHAIN, select="SELECT * FROM dim"),
     "single_run": sql(*CHANGE_CHAIN, TRENDS, select="SELECT * FROM trends"),
 }

@@ -15,7 +15,7 @@ from divtide.operators.normalize import conform, strict_union, union_rows
 from divtide.operators.quality import batch_metrics, not_null_report
 from divtide.operators.totals import ticker_year_totals, with_change, with_previous_year
 from divtide.plans import fixtures as fx
-from divtide.plans.load import Targets
+from divtide.plans.load import Targets, load_batch
 from divtide.plans.models import (
     build_models,
     clean_columns,
@@ -128,7 +128,7 @@ def nested_flatten(spark, sf_dir):
         as_long(F.col("frequency")).alias("frequency"),
     )
     fx.land_pages(nested, landing)
-    flat = read_nested(spark, landing)
+    flat = read_nested(spark, landing, nested.schema)
     return flat.toDF(*[c.replace(".", "_") for c in flat.columns])
 
 
@@ -137,8 +137,8 @@ def nested_flatten(spark, sf_dir):
 
 @query("history_evolve")
 def history_evolve(spark, sf_dir):
-    """An older history with typed columns, one missing and one more, beside a history of today."""
-    old, new = scratch_dir(spark, "history"), scratch_dir(spark, "history")
+    """One folder with files of an older form (typed columns, one missing, one more) and of today's."""
+    history = scratch_dir(spark, "history")
     raw = fx.raw_dividends(spark, sf_dir)
     typed = {
         "cash_amount": as_double(F.col("cash_amount")),
@@ -146,9 +146,9 @@ def history_evolve(spark, sf_dir):
         "record_date": as_date(F.col("record_date")),
         "note": F.lit("old"),
     }
-    fx.first_part(raw).withColumns(typed).drop("currency").write.parquet(old)
-    append_history(fx.other_part(raw), new)
-    return read_history(spark, old, new)
+    fx.first_part(raw).withColumns(typed).drop("currency").write.parquet(history)
+    append_history(fx.other_part(raw), history)
+    return read_history(spark, history)
 
 
 @query("history_append")
@@ -169,6 +169,34 @@ def history_append_new(spark, sf_dir):
     return read_history(spark, history)
 
 
+@query("batch_repeat")
+def batch_repeat(spark, sf_dir):
+    """Two batches are stored, then one of them again from pages without rows, which leaves the other's."""
+    landings = [scratch_dir(spark, "pages") for _ in range(3)]
+    root = scratch_dir(spark, "repeat")
+    raw = fx.raw_dividends(spark, sf_dir)
+    fx.land_pages(fx.first_part(raw), landings[0])
+    fx.land_pages(fx.other_part(raw), landings[1])
+    fx.land_empty_pages(spark, sf_dir, landings[2])
+    targets = Targets(f"{root}/history", f"{root}/rejects", f"{database(spark)}.dividends")
+    create_raw_table(spark, targets.table, by_batch=True)
+    for batch, landing in (("a", landings[0]), ("b", landings[1]), ("a", landings[2])):
+        load_batch(read_pages(spark, landing), targets, batch)
+    sinks = {"history": read_history(spark, targets.history), "table": read_raw(spark, targets.table)}
+    return reduce(DataFrame.unionByName, [df.withColumn("sink", F.lit(name)) for name, df in sinks.items()])
+
+
+@query("rejected_pages")
+def stored_rejects(spark, sf_dir):
+    """Pages made from orders, good, of wrong form and cut off; the stored text of those rejected."""
+    landing, root = scratch_dir(spark, "pages"), scratch_dir(spark, "rejects")
+    fx.land_odd_pages(spark, sf_dir, landing)
+    targets = Targets(f"{root}/history", f"{root}/rejects", f"{database(spark)}.dividends")
+    create_raw_table(spark, targets.table, by_batch=True)
+    load_batch(read_pages(spark, landing), targets, "odd")
+    return spark.read.schema("page string").json(targets.rejects).select("page")
+
+
 @query("union_all")
 def union_all(spark, sf_dir):
     raw = fx.raw_dividends(spark, sf_dir)
@@ -265,7 +293,16 @@ def clean_strings(spark, sf_dir):
 
 @query("typed_casts")
 def typed_casts(spark, sf_dir):
-    typed = clean_columns(fx.raw_dividends(spark, sf_dir))
+    """Casts of every raw row, some of whose dates have other text after them or are a year only."""
+    raw = fx.raw_dividends(spark, sf_dir)
+    date = F.col("declaration_date")
+    odd = (
+        F.when(F.col("ticker") == "NA", F.concat(date, F.lit(" junk")))
+        .when(F.col("frequency") == "1", F.concat(date, F.lit("Tjunk")))
+        .when(F.col("frequency") == "2", F.substring(date, 1, 4))
+        .otherwise(date)
+    )
+    typed = clean_columns(raw.withColumn("declaration_date", odd))
     return typed.drop("ticker", "currency", "dividend_type")
 
 
@@ -345,6 +382,20 @@ def model_build(spark, sf_dir):
     )
 
 
+@query("stored_summary")
+def stored_summary(spark, sf_dir):
+    """The rows of the summary as the stored view gives them."""
+    return build_models(fx.raw_dividends(spark, sf_dir), database(spark), fx.AS_OF)["fct_dividend_summary"]
+
+
+@query("stage_refresh")
+def stage_refresh(spark, sf_dir):
+    """The dimension built on one day and refreshed on a later one without new rows."""
+    raw, name = fx.raw_dividends(spark, sf_dir), database(spark)
+    refresh_models(raw, name, fx.AS_OF)
+    return refresh_models(raw.where("false"), name, fx.LATER)["dim_dividends"].drop("loaded_at")
+
+
 @query("model_refresh")
 def model_refresh(spark, sf_dir):
     """The dimension after its rows came in two parts, the second merged without reading the first."""
@@ -358,6 +409,8 @@ def single_run(spark, sf_dir):
     """Pages to models in one run; the top changes as stored."""
     landing = scratch_dir(spark, "pages")
     fx.land_pages(fx.raw_dividends(spark, sf_dir), landing)
-    models, _ = run_once(spark, landing, scratch_dir(spark, "run"), f"divtide_{uuid4().hex}", fx.AS_OF)
+    models, _ = run_once(
+        spark, landing, scratch_dir(spark, "run"), f"divtide_{uuid4().hex}", fx.AS_OF, csv_staging=True
+    )
     return models["fct_dividend_trends"]
 

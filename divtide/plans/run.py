@@ -10,8 +10,13 @@ from divtide.sources.pages import read_pages
 from divtide.sources.warehouse import create_database, create_raw_table, read_raw
 
 
-def targets_below(out: str, database: str, **options) -> Targets:
-    return Targets(f"{out}/history", f"{out}/rejects", f"{database}.dividends", f"{out}/staging", **options)
+def targets_below(out: str, database: str, csv_staging: bool = False, **options) -> Targets:
+    """The places of a run below one folder.
+
+    With `csv_staging`, or where `null_tokens` are given, rows reach the table by way of CSV files.
+    """
+    staging = f"{out}/staging" if csv_staging or "null_tokens" in options else None
+    return Targets(f"{out}/history", f"{out}/rejects", f"{database}.dividends", staging, **options)
 
 
 def run_once(

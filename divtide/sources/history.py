@@ -1,35 +1,61 @@
 """The raw history: a Parquet folder that only grows."""
 
+import re
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from divtide.operators.normalize import conform
-from divtide.schema import BATCH_COLUMN, RAW_COLUMNS, all_text
+from divtide.schema import BATCH_COLUMN, RAW_COLUMNS, RAW_SCHEMA, all_text
 
-# Batches of more rows than this are not broadcast, whatever their ids.
-BROADCAST_ROWS = 1_000_000
+# Spark names the files of one write alike: a part number, the write, a counter.
+WRITE_OF_FILE = re.compile(r"part-\d+-(.+?)(?:[-_.]c\d+)?(?:\.[a-z0-9]+)*\.parquet$")
+
+
+def read_path(spark: SparkSession, path: str) -> DataFrame:
+    """The raw rows below one path, whose files may differ in columns and types.
+
+    Columns are merged over all files. Where types differ and cannot be merged, files are grouped by the write
+    they come from, which gave all its files one schema; each schema is read and brought to text by itself.
+    """
+    try:
+        return conform(spark.read.option("mergeSchema", True).parquet(path))
+    except Py4JJavaError as error:
+        if "CANNOT_MERGE_SCHEMAS" not in str(error.java_exception):
+            raise
+    writes: dict[str, list[str]] = {}
+    for file in spark.read.schema(RAW_SCHEMA).parquet(path).inputFiles():
+        found = WRITE_OF_FILE.search(file)
+        writes.setdefault(found[1] if found else file, []).append(file)
+    by_schema: dict[str, list[str]] = {}
+    for files in writes.values():
+        by_schema.setdefault(spark.read.parquet(files[0]).schema.json(), []).extend(files)
+    return reduce(DataFrame.unionByName, [conform(spark.read.parquet(*files)) for files in by_schema.values()])
 
 
 def read_history(spark: SparkSession, *paths: str) -> DataFrame:
-    """The raw rows below each path, which may differ in columns and types."""
-    return reduce(DataFrame.unionByName, [conform(spark.read.parquet(p)) for p in paths])
+    """The raw rows below each path, which may differ in columns and types, also within a path."""
+    return reduce(DataFrame.unionByName, [read_path(spark, p) for p in paths])
+
+
+def batch_folder(path: str, batch_id: str) -> str:
+    return f"{path}/{BATCH_COLUMN}={batch_id}"
 
 
 def append_history(batch: DataFrame, path: str, batch_id: str | None = None) -> None:
     """Adds `batch` to the history, creating it if needed, and rewrites nothing that is there.
 
-    With `batch_id` the rows go to a partition of their own, so doing the same batch again after a
-    failure replaces it and adds nothing twice. A history is kept either with ids or without.
+    With `batch_id` the rows go to a partition of their own, so doing the same batch again replaces it and adds
+    nothing twice, also if it has no rows any more. A history is kept either with ids or without.
     """
     rows = conform(batch)
     if batch_id is None:
         rows.write.mode("append").parquet(path)
     else:
-        write = rows.withColumn(BATCH_COLUMN, F.lit(batch_id)).write.mode("overwrite")
-        write.option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COLUMN).parquet(path)
+        rows.write.mode("overwrite").parquet(batch_folder(path, batch_id))
 
 
 def batches(spark: SparkSession, path: str) -> DataFrame:
@@ -44,8 +70,13 @@ def batches(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_batch(spark: SparkSession, path: str, batch_id: str) -> DataFrame:
-    """The rows that one batch added, read from its partition only."""
-    return batches(spark, path).where(F.col(BATCH_COLUMN) == batch_id).select(RAW_COLUMNS)
+    """The rows that one batch added, none if there is no such batch; only its folder is listed and read."""
+    try:
+        return spark.read.schema(RAW_SCHEMA).parquet(batch_folder(path, batch_id))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], RAW_SCHEMA)
 
 
 def other_batches(spark: SparkSession, path: str, batch_id: str) -> DataFrame:
@@ -53,17 +84,13 @@ def other_batches(spark: SparkSession, path: str, batch_id: str) -> DataFrame:
     return batches(spark, path).where(F.col(BATCH_COLUMN) != batch_id).select(RAW_COLUMNS)
 
 
-def new_rows(batch: DataFrame, history: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def new_rows(batch: DataFrame, history: DataFrame) -> DataFrame:
     """Rows of `batch` that the history does not hold, each once; NULLs compare as equal.
 
     Rows are compared in all columns, since a later version of the same id must still come in. Both
     sides are grouped together: copies collapse before the one shuffle, so no group of copies is
-    too large. Where the batch is small, the history is first cut to its ids by a broadcast, so that
-    only few rows of it are shuffled.
+    too large. The plan is the same for batches of any size.
     """
     batch, history = conform(batch), conform(history)
-    if batch.count() <= broadcast_rows:
-        ids = F.broadcast(batch.select(F.col("id").alias("batch_id")).distinct())
-        history = history.join(ids, F.col("id").eqNullSafe(F.col("batch_id")), "left_semi")
     both = batch.withColumn("held", F.lit(False)).unionByName(history.withColumn("held", F.lit(True)))
     return both.groupBy(RAW_COLUMNS).agg(F.bool_or("held").alias("held")).where("NOT held").drop("held")

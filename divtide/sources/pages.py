@@ -36,13 +36,21 @@ def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> Data
 
 
 def page_rows(pages: DataFrame) -> DataFrame:
-    """The raw rows in `results`; a page whose `results` is missing or empty adds none."""
-    return pages.where(F.col(CORRUPT_COLUMN).isNull()).select(F.inline("results")).select(RAW_COLUMNS)
+    """The raw rows in `results`; a page whose `results` is missing or empty adds none, nor does a null in it."""
+    rows = F.filter("results", lambda row: row.isNotNull())
+    return pages.where(F.col(CORRUPT_COLUMN).isNull()).select(F.inline(rows)).select(RAW_COLUMNS)
 
 
 def rejected_pages(pages: DataFrame) -> DataFrame:
-    """Pages that are no JSON or not of the page's form: their text, and `status` if it could be read."""
-    return pages.where(F.col(CORRUPT_COLUMN).isNotNull()).select(F.col(CORRUPT_COLUMN).alias("page"), "status")
+    """Pages that are no JSON or not of the page's form: their text, and what could be read of them.
+
+    `readable_rows` is NULL where `results` was not readable. It is selected for a reason: Spark looks at the
+    form of `results` only if a query needs it, and else takes a page with wrong ones for a good one.
+    """
+    readable = F.when(F.col("results").isNotNull(), F.size("results"))
+    return pages.where(F.col(CORRUPT_COLUMN).isNotNull()).select(
+        F.col(CORRUPT_COLUMN).alias("page"), "status", readable.alias("readable_rows")
+    )
 
 
 def no_rows(spark: SparkSession) -> DataFrame:
@@ -50,13 +58,16 @@ def no_rows(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], RAW_SCHEMA)
 
 
-def read_nested(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """`results` with nested objects as dotted columns and types as they come.
+def nested_pages(spark: SparkSession, path: str, row: T.StructType) -> DataFrame:
+    """Pages whose `results` hold nested objects of the form `row`; read once, no types inferred."""
+    fields = [T.StructField("status", T.StringType()), T.StructField("results", T.ArrayType(row))]
+    return spark.read.schema(T.StructType([*fields, T.StructField(CORRUPT_COLUMN, T.StringType())])).json(path)
 
-    Without `schema` Spark reads the files once more to infer it.
-    """
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return flatten(reader.json(path).select(F.inline("results")))
+
+def read_nested(spark: SparkSession, path: str, row: T.StructType) -> DataFrame:
+    """`results` with nested objects as dotted columns; pages of another form are in `rejected_pages`."""
+    pages = nested_pages(spark, path, row).where(F.col(CORRUPT_COLUMN).isNull())
+    return flatten(pages.select(F.inline(F.filter("results", lambda x: x.isNotNull()))))
 
 
 def fallback_people(spark: SparkSession) -> DataFrame:
@@ -65,12 +76,16 @@ def fallback_people(spark: SparkSession) -> DataFrame:
 
 
 def people(spark: SparkSession, path: str) -> DataFrame:
-    """`(number, craft, name)`, one row per listed person; the fallback if no list has landed."""
+    """`(number, craft, name)`, one row per listed person; the fallback if no list has landed.
+
+    A list without `number` keeps its people, with NULL there.
+    """
     try:
-        lists = spark.read.schema(PEOPLE_SCHEMA).json(path).where("number IS NOT NULL AND people IS NOT NULL")
-        landed = not lists.isEmpty()
+        lists = spark.read.schema(PEOPLE_SCHEMA).json(path).where("people IS NOT NULL")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        landed = False
-    return lists.select("number", F.inline("people")) if landed else fallback_people(spark)
+        return fallback_people(spark)
+    if lists.isEmpty():
+        return fallback_people(spark)
+    return lists.select("number", F.inline(F.filter("people", lambda person: person.isNotNull())))

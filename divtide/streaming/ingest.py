@@ -12,9 +12,8 @@ from divtide.sources.warehouse import create_raw_table
 
 log = logging.getLogger(__name__)
 
-# How often to look for pages, and how many to take each time.
+# Fixed value: how often to look for pages.
 INTERVAL = "5 minutes"
-PAGES_PER_BATCH = 5
 
 AfterBatch = Callable[[SparkSession, dict], None]
 
@@ -37,7 +36,7 @@ def start_ingest(
     landing: str,
     targets: Targets,
     checkpoint: str,
-    max_files: int | None = PAGES_PER_BATCH,
+    max_files: int | None = None,
     interval: str | None = INTERVAL,
     after_batch: AfterBatch | None = None,
     multi_line: bool = False,
@@ -45,8 +44,8 @@ def start_ingest(
 ) -> StreamingQuery:
     """Starts loading pages as they land in the folder `landing`.
 
-    Without `interval` the stream takes what is there and ends. `max_files` limits how many files
-    one batch takes; the others wait for the next. `after_batch` gets the session and the counts
+    Without `interval` the stream takes what is there and ends. A batch takes all that has landed;
+    `max_files` limits how many files it takes, and the others wait for the next. `after_batch` gets the session and the counts
     once a batch is stored, for example `refresh_after` of the models. `source_options` go to Spark's
     file source, for example `cleanSource` to move loaded pages away and keep the listing short.
     """

@@ -25,6 +25,7 @@ from divtide.sources.pages import (
     no_rows,
     page_rows,
     people,
+    nested_pages,
     read_nested,
     read_pages,
     rejected_pages,
@@ -107,7 +108,10 @@ def test_conform_casts_adds_and_drops(spark):
 
 def test_flatten_dots_nested_and_keeps_arrays(spark, tmp_path):
     land(tmp_path / "in", "a", page({"id": 7, "a": {"b": {"c": 1.5}, "d.e": "x"}, "list": [{"k": 1}]}))
-    flat = read_nested(spark, str(tmp_path / "in"))
+    form = T._parse_datatype_string("id bigint, a struct<b: struct<c: double>, `d.e`: string>, list array<struct<k: bigint>>")
+    land(tmp_path / "in", "b", '{"results": [{"id": ', page({"id": "text"}))
+    flat = read_nested(spark, str(tmp_path / "in"), form)
+    assert len(rejected_pages(nested_pages(spark, str(tmp_path / "in"), form)).collect()) == 2
     assert dict(flat.dtypes) == {
         "a.b.c": "double",
         "a.d.e": "string",
@@ -116,6 +120,8 @@ def test_flatten_dots_nested_and_keeps_arrays(spark, tmp_path):
     }
     assert flat.first().asDict() == {"a.b.c": 1.5, "a.d.e": "x", "id": 7, "list": [T.Row(k=1)]}
     assert flatten(flat.select("id")).columns == ["id"]
+    with pytest.raises(ValueError, match="a.b"):
+        flatten(spark.sql("SELECT 1 AS `a.b`, named_struct('b', 2) AS a"))
 
 
 def test_strict_union_refuses_other_types(spark):
@@ -134,8 +140,8 @@ def test_people_and_fallback(spark, tmp_path):
     assert people(spark, str(tmp_path / "broken")).count() == 12
     land(tmp_path / "nobody", "a", {"number": 0, "people": []})
     assert people(spark, str(tmp_path / "nobody")).count() == 0
-    land(tmp_path / "in", "a", {"number": 3, "people": [{"craft": "A", "name": "x"}]})
-    assert people(spark, str(tmp_path / "in")).collect() == [(3, "A", "x")]
+    land(tmp_path / "in", "a", {"number": 3, "people": [{"craft": "A", "name": "x"}, None]}, {"people": [{"name": "y"}]})
+    assert sorted(people(spark, str(tmp_path / "in")).collect(), key=str) == [(3, "A", "x"), (None, None, "y")]
 
 
 def test_history_append_keeps_everything(spark, tmp_path):
@@ -165,8 +171,43 @@ def test_history_of_other_types(spark, tmp_path):
     assert rows["2"]["cash_amount"] == "1.25"
 
 
-@pytest.mark.parametrize("broadcast_rows", [1_000_000, 0])
-def test_new_rows(spark, broadcast_rows):
+def test_history_with_mixed_files_in_one_folder(spark, tmp_path):
+    """Columns and types of files differ; neither values nor rows are lost."""
+    path = str(tmp_path / "history")
+    spark.createDataFrame([("1", "USD")], "id string, currency string").write.parquet(path)
+    append_history(frame(spark, dividend("2", ticker="ABC")), path)
+    rows = {r["id"]: r for r in read_history(spark, path).collect()}
+    assert rows["2"]["ticker"] == "ABC" and rows["1"]["ticker"] is None and rows["1"]["currency"] == "USD"
+    typed = spark.createDataFrame([("3", 0.5, 4, "x")], "id string, cash_amount double, frequency int, note string")
+    typed.write.mode("append").parquet(path)
+    rows = {r["id"]: r for r in read_history(spark, path).collect()}
+    assert set(rows) == {"1", "2", "3"}
+    assert rows["2"]["ticker"] == "ABC" and (rows["3"]["cash_amount"], rows["3"]["frequency"]) == ("0.5", "4")
+
+
+def test_rejects_of_wrong_form_are_stored(spark, tmp_path, database):
+    bad = ['{"results":"oops"}', '{"results":{"id":"9"}}', '{"results":[{"id":"2"},7]}']
+    to = targets(tmp_path, database)
+    create_raw_table(spark, to.table, by_batch=True)
+    land(tmp_path / "in", "a", *bad, '{"results":[{"id":"1"},null]}')
+    counts = load_batch(read_pages(spark, str(tmp_path / "in")), to, "b1")
+    assert (counts["pages"], counts["rejected_pages"], counts["rows"]) == (4, 3, 1)
+    assert sorted(r["page"] for r in spark.read.json(to.rejects).collect()) == sorted(bad)
+
+
+def test_repeat_without_rows_replaces(spark, tmp_path, database):
+    to = targets(tmp_path, database)
+    create_raw_table(spark, to.table, by_batch=True)
+    land(tmp_path / "in", "a", '{"results":[{"id":"1"}]}', "{cut")
+    land(tmp_path / "again", "a", '{"results":[]}')
+    load_batch(read_pages(spark, str(tmp_path / "in")), to, "b1")
+    assert read_history(spark, to.history).count() == 1 and spark.read.schema("page string").json(to.rejects).count() == 1
+    load_batch(read_pages(spark, str(tmp_path / "again")), to, "b1")
+    assert read_history(spark, to.history).count() == 0 and read_raw(spark, to.table).count() == 0
+    assert spark.read.schema("page string").json(to.rejects).count() == 0
+
+
+def test_new_rows(spark):
     history = frame(spark, dividend("1"), dividend("1"), dividend(None), dividend("9"))
     batch = frame(
         spark,
@@ -177,7 +218,7 @@ def test_new_rows(spark, broadcast_rows):
         dividend(None, ticker="X"),
         dividend("2"),
     )
-    new = new_rows(batch, history, broadcast_rows)
+    new = new_rows(batch, history)
     assert bag(new) == bag(batch.subtract(history))
     assert new.count() == 3
 
@@ -279,12 +320,12 @@ def test_failed_load_keeps_the_staged_rows(spark, tmp_path, database):
     pages = read_pages(spark, str(tmp_path / "in"))
     with pytest.raises(Exception):  # noqa: B017 - the table is not there yet
         load_batch(pages, to, "b1")
-    assert [r["id"] for r in read_staging(spark, to.staging).collect()] == ["1"]
+    assert [r["id"] for r in read_staging(spark, f"{to.staging}/ingest_batch=b1").collect()] == ["1"]
     create_raw_table(spark, to.table, by_batch=True)
     load_batch(pages, to, "b1")
     assert read_history(spark, to.history).count() == 1
     assert read_raw(spark, to.table).count() == 1
-    assert read_staging(spark, to.staging).count() == 0
+    assert read_staging(spark, f"{to.staging}/ingest_batch=b1").count() == 0
 
 
 def test_run_once(spark, tmp_path):
@@ -417,13 +458,22 @@ def test_only_new_rows_are_stored(spark, tmp_path, database):
 
 
 def test_command_line(spark, tmp_path, capsys):
-    land(tmp_path / "in", "a", page(dividend("1", pay_date="2024-05-01")))
+    land(tmp_path / "in", "a", page(dividend("1", pay_date="2024-05-01", ex_dividend_date="2024-04-01")))
     name = f"t_{uuid4().hex}"
     common = ["--database", name, "--out", str(tmp_path / "out"), "--as-of", "2024-06-01"]
     main(["run", "--landing", str(tmp_path / "in"), *common])
     main(["models", *common])
     main(["check", *common])
     assert "ex_dividend_date" in capsys.readouterr().out
-    assert spark.table(f"{name}.fct_dividend_trends").count() == 1
+    again = ["run", "--landing", str(tmp_path / "in"), "--run-id", "monday", "--csv-staging", *common]
+    for _ in range(2):
+        main(again)
+    assert read_raw(spark, f"{name}.dividends").count() == 2
+    land(tmp_path / "gaps", "a", page(dividend("2", ticker=None)))
+    main(["run", "--landing", str(tmp_path / "gaps"), *common])
+    with pytest.raises(SystemExit) as gaps:
+        main(["check", *common])
+    assert gaps.value.code == 1
+    assert spark.table(f"{name}.fct_dividend_trends").count() == 2
     with pytest.raises(SystemExit):
         main(["run", *common])

@@ -1,7 +1,7 @@
 """What the physical plans must and must not hold."""
 
 from divtide.plans import fixtures as fx
-from divtide.plans.models import clean_columns, staging, summary
+from divtide.plans.models import clean_columns, dimension, staging, summary
 from divtide.plans.registry import QUERIES
 from divtide.session import scratch_dir
 from divtide.sources.history import append_history, new_rows, read_history
@@ -60,7 +60,13 @@ def test_new_rows_shuffle_once_and_combine_copies_first(spark):
     path = scratch_dir(spark, "history")
     raw = fx.raw_dividends(spark, SF_DIR)
     append_history(fx.first_part(raw), path)
-    large = plan(new_rows(raw, read_history(spark, path), broadcast_rows=0))
-    assert exchanges(large) == 1 and "Join" not in large and "partial_max(held" in large
-    small = plan(new_rows(raw, read_history(spark, path)))
-    assert "BroadcastHashJoin" in small and "SortMergeJoin" not in small
+    text = plan(new_rows(raw, read_history(spark, path)))
+    assert exchanges(text) == 1 and "Join" not in text and "partial_max(held" in text
+
+
+def test_summary_deals_out_every_group(spark):
+    """Groups of any size are cut into chunks and dealt to a fixed number of tasks before rows are repeated."""
+    path = scratch_dir(spark, "dim")
+    dimension(staging(fx.raw_dividends(spark, SF_DIR), fx.AS_OF)).write.parquet(path)
+    text = plan(summary(spark.read.parquet(path)))
+    assert "REPARTITION_BY_NUM" in text and "Union" not in text
