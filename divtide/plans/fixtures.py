@@ -1,6 +1,6 @@
 """Inputs derived by Spark from the given tables, since these hold no dividends."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from divtide.schema import RAW_COLUMNS
@@ -74,6 +74,18 @@ def land_pages(rows: DataFrame, path: str, files: int | None = None) -> None:
     (pages.repartition(files) if files else pages).write.mode("append").json(path)
 
 
+def land_walks(spark: SparkSession, sf_dir: str, path: str, first: bool) -> None:
+    """Each event as a page of its user's walk, with one row; the first three pages of a walk, or the others."""
+    place = F.row_number().over(Window.partitionBy("run").orderBy("page")) - 1
+    key = F.concat(F.lit("E"), F.col("page").cast("string"))
+    row = F.struct(key.alias("id"), F.col("run").alias("ticker"))
+    log = page_log(spark, sf_dir).withColumn("seq", place)
+    pages = log.where("seq < 3" if first else "seq >= 3")
+    pages.select(
+        F.lit("OK").alias("status"), "next_url", "run", "seq", F.col("status").alias("http_status"), F.array(row).alias("results")
+    ).write.mode("append").json(path)
+
+
 def land_empty_pages(spark: SparkSession, sf_dir: str, path: str) -> None:
     """A page without rows for each order."""
     table(spark, sf_dir, "orders").select(F.lit('{"status":"OK","results":[]}').alias("page")).write.text(path)

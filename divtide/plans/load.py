@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from divtide.functions import blank_null_tokens
+from divtide.operators.admission import STOP_SCHEMA, admitted_pages, walk_stops
 from divtide.schema import CORRUPT_COLUMN
 from divtide.sources.history import append_history, batch_folder, new_rows, other_batches, read_batch
 from divtide.sources.pages import page_rows, rejected_pages
@@ -20,7 +21,9 @@ class Targets:
 
     With a `staging` folder the table is loaded from staged CSV files, in which `null_tokens` count
     as missing; without one it is loaded from the history. With `only_new`, rows that the history
-    already holds in every column are not stored again.
+    already holds in every column are not stored again. With a `walks` folder, only pages that a walk
+    along `next_url` reaches are loaded; where walks stop is kept there, so that a walk may land in
+    several batches, its pages in order.
     """
 
     history: str
@@ -29,6 +32,7 @@ class Targets:
     staging: str | None = None
     null_tokens: tuple[str, ...] = ("",)
     only_new: bool = False
+    walks: str | None = None
 
 
 def load_batch(pages: DataFrame, targets: Targets, batch_id: str) -> dict:
@@ -45,6 +49,8 @@ def load_batch(pages: DataFrame, targets: Targets, batch_id: str) -> dict:
     read, stored = Observation(), Observation()
     corrupt = F.count_if(F.col(CORRUPT_COLUMN).isNotNull())
     seen = pages.observe(read, F.count(F.lit(1)).alias("pages"), corrupt.alias("rejected_pages"))
+    if targets.walks:
+        seen = admitted_pages(seen, stops_so_far(pages, targets.walks, batch_id))
     rows = page_rows(seen)
     if targets.only_new:
         rows = new_rows(rows, other_batches(spark, targets.history, batch_id))
@@ -64,6 +70,15 @@ def load_batch(pages: DataFrame, targets: Targets, batch_id: str) -> dict:
     return counts
 
 
+def stops_so_far(pages: DataFrame, walks: str, batch_id: str) -> DataFrame:
+    """Where walks stop by this batch and all others; those of this batch are stored in place of an earlier try's.
+
+    Reads of the pages only what the walk needs. Another batch's stops are a row per run that ended in it.
+    """
+    walk_stops(pages).write.mode("overwrite").parquet(batch_folder(walks, batch_id))
+    return pages.sparkSession.read.schema(STOP_SCHEMA).parquet(walks)
+
+
 def store_rejects(pages: DataFrame, folder: str, expected: int) -> None:
     """Stores the rejected pages of a batch in place of those it stored before.
 

@@ -224,6 +224,14 @@ ORACLES = {
     "microbatch_replay": sql(
         RAW, select="SELECT *, 'history' AS sink FROM raw UNION ALL SELECT *, 'table' AS sink FROM raw"
     ),
+    "admitted_ingest": sql(
+        LOG,
+        ADMITTED,
+        select=" UNION ALL ".join(
+            f"SELECT 'E' || CAST(page AS VARCHAR) AS id, run AS ticker, '{sink}' AS sink FROM walked WHERE stops = 0"
+            for sink in ("history", "table")
+        ),
+    ),
     "batch_metrics": sql(
         RAW,
         select="""SELECT count(*) FILTER (WHERE frequency = '1') AS rows_in_batch,

@@ -255,11 +255,25 @@ def microbatch_replay(spark, sf_dir):
     for part in (fx.first_part(raw), fx.other_part(raw), None):
         if part is not None:
             fx.land_pages(part, landing)
-        ingest_available(spark, landing, targets, f"{root}/checkpoint", max_files=None)
+        ingest_available(spark, landing, targets, f"{root}/checkpoint")
     sinks = {"history": read_history(spark, targets.history), "table": read_raw(spark, targets.table)}
     return reduce(DataFrame.unionByName, [df.withColumn("sink", F.lit(name)) for name, df in sinks.items()])
 
 
+@query("admitted_ingest")
+def admitted_ingest(spark, sf_dir):
+    """Walks over pages that land in two parts; what the stream stores are rows of pages a walk reaches."""
+    landing, root = scratch_dir(spark, "pages"), scratch_dir(spark, "stream")
+    table = f"{database(spark)}.dividends"
+    targets = Targets(f"{root}/history", f"{root}/rejects", table, walks=f"{root}/walks")
+    for first in (True, False):
+        fx.land_walks(spark, sf_dir, landing, first)
+        ingest_available(spark, landing, targets, f"{root}/checkpoint")
+    sinks = {"history": read_history(spark, targets.history), "table": read_raw(spark, targets.table)}
+    rows = [df.select("id", "ticker", F.lit(name).alias("sink")) for name, df in sinks.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
 @query("batch_metrics")
 def batch_counts(spark, sf_dir):
     raw = fx.raw_dividends(spark, sf_dir)

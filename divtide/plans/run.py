@@ -16,7 +16,9 @@ def targets_below(out: str, database: str, csv_staging: bool = False, **options)
     With `csv_staging`, or where `null_tokens` are given, rows reach the table by way of CSV files.
     """
     staging = f"{out}/staging" if csv_staging or "null_tokens" in options else None
-    return Targets(f"{out}/history", f"{out}/rejects", f"{database}.dividends", staging, **options)
+    return Targets(
+        f"{out}/history", f"{out}/rejects", f"{database}.dividends", staging, walks=f"{out}/walks", **options
+    )
 
 
 def run_once(

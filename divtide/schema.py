@@ -47,6 +47,10 @@ PAGE_SCHEMA = T.StructType(
     [
         T.StructField("status", T.StringType()),
         T.StructField("next_url", T.StringType()),
+        # Where landed pages say so: the walk they belong to, their place in it, and how the request ended.
+        T.StructField("run", T.StringType()),
+        T.StructField("seq", T.LongType()),
+        T.StructField("http_status", T.IntegerType()),
         T.StructField("results", T.ArrayType(RAW_SCHEMA)),
         T.StructField(CORRUPT_COLUMN, T.StringType()),
     ]

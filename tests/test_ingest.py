@@ -477,3 +477,20 @@ def test_command_line(spark, tmp_path, capsys):
     assert spark.table(f"{name}.fct_dividend_trends").count() == 2
     with pytest.raises(SystemExit):
         main(["run", *common])
+
+
+def test_walks_split_over_batches(spark, tmp_path, database):
+    """Pages beyond a stop in this batch or an earlier one are not loaded; doing a batch again changes nothing."""
+
+    def on(run, seq, http_status=200, next_url="more"):
+        return {**page(dividend(f"{run}{seq}")), "run": run, "seq": seq, "http_status": http_status, "next_url": next_url}
+
+    first = [on("a", 0), on("a", 1), on("b", 0, 404), on("b", 1), on("c", 0, 302), on("c", 1, 302), on("d", 0, None)]
+    later = [on("a", 2, next_url=None), on("a", 3), on("b", 2), on("c", 2), page(dividend("free")), on("e", None)]
+    land(tmp_path / "1", "p", *first)
+    land(tmp_path / "2", "p", *later)
+    to = targets(tmp_path, database, walks=str(tmp_path / "walks"))
+    create_raw_table(spark, to.table, by_batch=True)
+    for batch in ("1", "2", "2"):
+        load_batch(read_pages(spark, str(tmp_path / batch)), to, batch)
+    assert sorted(r["id"] for r in read_raw(spark, to.table).collect()) == ["a0", "a1", "a2", "c0", "free"]
