@@ -31,3 +31,13 @@ def marked(words: np.ndarray, prints: np.ndarray) -> np.ndarray:
     """Which fingerprints the opened bitmap marks."""
     place = prints >> np.uint64(64 - BITS)
     return (words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+
+def opened_bytes(packed: bytes) -> bytes:
+    return zlib.decompress(packed)
+
+
+def is_marked(octets: bytes, signed: int) -> bool:
+    """The same for a single fingerprint, given as Spark has it, signed."""
+    place = (signed & 0xFFFF_FFFF_FFFF_FFFF) >> (64 - BITS)
+    return octets[place >> 3] >> (place & 7) & 1 == 1

@@ -19,34 +19,38 @@ import hashlib
 import re
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from divtide.llm.bitmap import bitmap, marked, opened
+from divtide.llm.bitmap import bitmap, is_marked, opened_bytes
 from divtide.llm.common import stored, whole_text
 
 LEADING = 4
 SHARE = 0.6
 # Lines of LONG words or more recur in two documents already, shorter ones in SHORT_DOCS.
 LONG, LONG_DOCS, SHORT_DOCS = 16, 2, 8
-WORD = re.compile(r"[^ \t-\r]+")
-VARIABLE = re.compile(r"[^ \t-\r]*[0-9@][^ \t-\r]*")
-FIELD = "<*>"
+VARIABLE = re.compile(rb"[0-9@]")
+FIELD = b"<*>"
 
 
-def parsed(text: str) -> Iterator[tuple[list[str], int, bytes]]:
-    """Masked words, leaf and fingerprint of each line; no words for a blank line."""
-    for line in VARIABLE.sub(FIELD, text).split("\n"):
-        words = WORD.findall(line)
-        if words:
-            leaf = xxhash.xxh3_64_intdigest(f"{len(words)} {' '.join(words[:LEADING])}") - (1 << 63)
-            yield words, leaf, hashlib.md5(" ".join(words).encode("utf-8", "surrogatepass"), usedforsecurity=False).digest()
-        else:
-            yield words, 0, b""
+def parsed(text: str) -> Iterator[list[bytes]]:
+    """The masked words of each line; UTF-8, whose `split` knows just the six white-space codes."""
+    for line in text.encode("utf-8", "surrogatepass").split(b"\n"):
+        words = line.split()
+        if VARIABLE.search(line):
+            words = [FIELD if VARIABLE.search(w) else w for w in words]
+        yield words
+
+
+def leaf_of(words: list[bytes]) -> int:
+    return xxhash.xxh3_64_intdigest(b"%d %b" % (len(words), b" ".join(words[:LEADING]))) - (1 << 63)
+
+
+def line_of(words: list[bytes]) -> bytes:
+    return hashlib.md5(b" ".join(words), usedforsecurity=False).digest()
 
 
 def needed(n_words: Column) -> Column:
@@ -71,7 +75,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
         for batch in batches:
             rows, leaves, lines, n_words = [], [], [], []
             for row, text in enumerate(batch.column(2).to_pylist()):
-                seen = {line: (leaf, len(words)) for words, leaf, line in parsed(text) if words}
+                seen = {line_of(words): (leaf_of(words), len(words)) for words in parsed(text) if words}
                 rows.extend([row] * len(seen))
                 lines.extend(seen)
                 leaves.extend(leaf for leaf, _ in seen.values())
@@ -99,16 +103,16 @@ def words_in(docs: DataFrame, leaves: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(bitmap(leaves.select(F.col("leaf").alias("print"))))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = opened(shared.value)
+        wanted = opened_bytes(shared.value)
         for batch in batches:
-            found: dict[bytes, list[str]] = {}
+            found: dict[bytes, list[bytes]] = {}
             for text in batch.column(0).to_pylist():
-                lines = [x for x in parsed(text) if x[0]]
-                prints = np.array([leaf for _, leaf, _ in lines], np.int64).view(np.uint64)
-                for i in np.flatnonzero(marked(wanted, prints)):
-                    found.setdefault(lines[i][2], lines[i][0])
+                for words in parsed(text):
+                    if words and is_marked(wanted, leaf_of(words)):
+                        found.setdefault(line_of(words), words)
+            texts = [[w.decode("utf-8", "surrogatepass") for w in words] for words in found.values()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.list_(pa.string()))], names=["line", "words"]
+                [pa.array(list(found), pa.binary()), pa.array(texts, pa.list_(pa.string()))], names=["line", "words"]
             )
 
     return docs.select(whole_text("text").alias("text")).mapInArrow(fetch, WORDS_SCHEMA)
@@ -151,8 +155,8 @@ def recurring(docs: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """`row` (all columns as they were), `text` without the dropped lines, n_lines, n_dropped (long)."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    """`row` (the other columns), `text` without the dropped lines, n_lines, n_dropped (long)."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
     lost = stored(recurring(docs), "dropped")
     joined = identified(docs, row.alias("row")).join(lost, "ident", "left")
     shape = T.StructType(
@@ -165,7 +169,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
             for text, drop in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 lines = text.split("\n")
                 gone = set(drop or ())
-                kept = [x for x, (words, _, line) in zip(lines, parsed(text)) if line not in gone] if gone else lines
+                kept = [x for x, words in zip(lines, parsed(text)) if line_of(words) not in gone] if gone else lines
                 texts.append("\n".join(kept))
                 n_lines.append(len(lines) if text else 0)
                 n_dropped.append(len(lines) - len(kept))
@@ -178,4 +182,4 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 def without_recurring_lines(docs: DataFrame) -> DataFrame:
     """The documents with their new texts, all columns; `n_chars`, if there is one, follows the text."""
     new = {"text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
-    return dedup_lines(docs).select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
+    return dedup_lines(docs).select(*[(new[c] if c in new else F.col("row").getField(c)).alias(c) for c in docs.columns])
