@@ -15,6 +15,8 @@ def hooked(edges: DataFrame, larger: bool) -> DataFrame:
     back = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
     seen = edges.unionByName(back) if larger else edges.unionByName(back).where("a > b")
     least = seen.groupBy("a").agg(F.min("b").alias("least")).withColumn("least", F.least("a", "least"))
+    # Written, or the join would keep the aggregate's partitions and could not split a node with very many edges.
+    least = stored(least, "least")
     joined = seen.join(least, "a")
     if larger:
         return joined.where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()

@@ -223,7 +223,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     ties = placed.join(shared, "band").where("node != least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
     group = stored(components(ties), "groups")
 
-    sizes = group.groupBy("root").agg(F.count("*").alias("n")).where("n > 1")
+    # Written, as are the names below, so that joins with them can split a root with very many nodes.
+    sizes = stored(group.groupBy("root").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
     blocks = F.ceil(F.col("n") / BLOCK).cast("long")
     member = group.join(sizes, "root").select("node", "root", blocks.alias("blocks"))
     chosen = stored(member.join(nodes.drop("bands", "first_doc"), "node"), "chosen")
@@ -254,7 +255,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     classes = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).distinct())
     named = nodes.select("node", "doc_key", "copies", "first_doc").join(classes, "node", "left").join(links, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
-    names = named.groupBy("root").agg(F.min("first_doc").alias("class_id"))
+    named = stored(named, "named")
+    names = stored(named.groupBy("root").agg(F.min("first_doc").alias("class_id")), "names")
     n_links = F.coalesce("links", F.lit(0)) + F.col("copies") - 1
     known = stored(named.join(names, "root").select("doc_key", "class_id", n_links.alias("n_links"), F.col("root").alias("class_node")), "classes")
     result = signed.select("doc_id", "doc_key", "n_shingles").join(known, "doc_key", "left")
