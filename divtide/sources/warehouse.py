@@ -1,5 +1,8 @@
 """The raw table and the model tables in the Spark catalog."""
 
+import time
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -7,6 +10,10 @@ from divtide.operators.normalize import conform
 from divtide.schema import BATCH_COLUMN, RAW_COLUMNS, TABLE_COLUMNS
 
 
+# How long a replaced build of a model table stays readable.
+BUILD_SECONDS = 24 * 3600
+
+
 def create_database(spark: SparkSession, name: str, location: str) -> None:
     """A database whose tables lie below `location`, a folder that every executor can reach."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{location}'")
@@ -52,16 +59,17 @@ def table_location(spark: SparkSession, table: str) -> str:
 def replace_table(df: DataFrame, table: str) -> DataFrame:
     """Rebuilds a model table and returns it as stored.
 
-    The rows are written beside those in use, in the other of two folders; then the table is
-    pointed there. Readers find the old or the new rows, whole, and a failed rebuild changes
-    nothing. A session that has read the table before sees the new rows after `REFRESH TABLE`.
+    The rows are written to a folder of their own; then the table is pointed there. Readers find the
+    old or the new rows, whole, and a failed rebuild changes nothing. Builds stay for a while after
+    they were replaced, so whoever has begun to read one can end. A session that has read the table
+    before sees the new rows after `REFRESH TABLE`.
     """
     spark = df.sparkSession
     database, name = table.split(".")
     exists = spark.catalog.tableExists(table)
-    slot = "b" if exists and table_location(spark, table).endswith("/a") else "a"
-    location = f"{spark.catalog.getDatabase(database).locationUri}/{name}/{slot}"
-    df.write.mode("overwrite").parquet(location)
+    builds = f"{spark.catalog.getDatabase(database).locationUri}/{name}"
+    location = f"{builds}/build-{uuid4().hex}"
+    df.write.parquet(location)
     if exists and spark.table(table).dtypes != df.dtypes:
         spark.sql(f"DROP TABLE {table}")
         exists = False
@@ -70,4 +78,15 @@ def replace_table(df: DataFrame, table: str) -> DataFrame:
     else:
         spark.catalog.createTable(table, location, "parquet")
     spark.catalog.refreshTable(table)
+    drop_old_builds(spark, builds, location)
     return spark.table(table)
+
+
+def drop_old_builds(spark: SparkSession, builds: str, current: str, seconds: float = BUILD_SECONDS) -> None:
+    """Removes builds other than the current one that were written longer ago than `seconds`."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(builds)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(folder):
+        path, age = status.getPath(), time.time() - status.getModificationTime() / 1000
+        if path.getName().startswith("build-") and path.getName() != current.rsplit("/", 1)[1] and age > seconds:
+            files.delete(path, True)

@@ -31,7 +31,16 @@ from divtide.sources.pages import (
     rejected_pages,
 )
 from divtide.sources.staging_csv import clear_staging, read_staging, write_staging
-from divtide.sources.warehouse import append_raw, create_database, create_raw_table, read_raw, replace_batch, replace_table
+from divtide.sources.warehouse import (
+    append_raw,
+    create_database,
+    create_raw_table,
+    drop_old_builds,
+    read_raw,
+    replace_batch,
+    replace_table,
+    table_location,
+)
 from divtide.streaming.ingest import ingest_available, start_ingest
 
 
@@ -290,6 +299,13 @@ def test_model_table_is_switched_whole(spark, database):
     assert spark.table(table).count() == 2
     assert replace_table(spark.range(1).withColumn("more", F.lit("x")), table).columns == ["id", "more"]
     assert spark.table(table).count() == 1
+    # Earlier builds, also those before the last, stay until they are old.
+    assert first.count() == 3
+    current = table_location(spark, table)
+    drop_old_builds(spark, current.rsplit("/", 1)[0], current, seconds=-60)
+    assert spark.read.parquet(current).count() == 1
+    with pytest.raises(Exception):  # noqa: B017
+        first.count()
 
 
 def targets(tmp_path, database, **options):
