@@ -60,7 +60,7 @@ def test_without_labels_of_both_kinds(spark, frame, toxic):
 
 def test_features():
     flags = Flags(frozenset(["vunt*"]), frozenset())
-    at = dict(zip(FEATURES, features_of("You ST*PID idiot!! nice vunting day", flags)))
+    at = dict(zip(FEATURES, features_of("You st*pid idiot!! nice vunting day", flags)))
     assert at["any_insult"] == 1 and at["any_strong"] == 1 and at["near_person"] > 0
     assert at["hidden"] > 0 and at["shouted"] == 0 and at["marks"] > 0
     assert features_of("", flags) == [0.0] * len(FEATURES)
