@@ -33,11 +33,11 @@ def held_out(doc_id: Column, divisor: int, remainder: int = 2) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % divisor == remainder, F.lit(True))
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     """`df` written once to a new folder below `spark.checkpoint.dir` and read back.
 
     Cuts the lineage without depending on any executor: a lost one costs a reread, no recomputation.
     """
     path = scratch_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

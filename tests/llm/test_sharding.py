@@ -1,7 +1,7 @@
 import zlib
 from collections import Counter
 
-from divtide.llm.sharding import external_shuffle, write_shards
+from divtide.llm.sharding import external_shuffle, stored_shards, write_shards
 from tests.llm.conftest import EDGES
 
 
@@ -46,3 +46,17 @@ def test_writes_whole_records(spark, frame, tmp_path):
     back = spark.read.parquet(str(tmp_path / "out"))
     assert sorted(r["text"] for r in back.collect()) == sorted(f"text {i}" for i in range(50))
     assert {r["_shard"] for r in back.collect()} == {0, 1, 2}
+
+
+def test_whole_records_travel_unasked(frame):
+    """All columns arrive, and the digests of the written shards are those of the texts in them."""
+    docs = frame(EDGES)
+    shuffled = external_shuffle(docs, 4)
+    columns = sorted(docs.columns)
+    arrived = Counter(tuple(r["record"][c] for c in columns) for r in shuffled.collect())
+    assert arrived == Counter(tuple(r[c] for c in columns) for r in docs.collect())
+    rows = stored_shards(shuffled).collect()
+    placed(rows, 4)
+    expected = Counter((i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in EDGES)
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in rows) == expected
+    assert stored_shards(external_shuffle(frame([]), 4)).count() == 0
