@@ -32,9 +32,8 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Tokenised pieces in their sequences."""
-    cut = packing.pieces(docs, tokenizer("byte_bpe_50k.json"), with_ids=False)
-    return packing.pack(cut).drop("ids")
+    """Tokenised pieces, with their ids, in their sequences."""
+    return packing.pack(packing.pieces(docs, tokenizer("byte_bpe_50k.json")))
 
 
 STAGES = [

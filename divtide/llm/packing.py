@@ -35,6 +35,7 @@ ODD_SPACE = re.compile(r" (?:\s|$)")
 # Fixed value: how byte-level vocabularies of this kind split a text before merging.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
+PLACED_SCHEMA = "doc_id long, start long, doc_tokens long, ids binary, sequence_id long, offset long"
 
 
 def byte_of_character() -> dict[str, int]:
@@ -90,8 +91,17 @@ class Tokens(dict):
 TOKENS: dict[int, Tokens] = {}  # one for each model, kept while a worker lives
 
 
-def pieces(docs: DataFrame, model_path: str, sequence: int = SEQUENCE, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
-    """The full windows and the rest of each document: doc_id, start, length, ids_crc32, doc_tokens, ids."""
+def planes(ids: bytes) -> bytes:
+    """The first bytes of all ids, then the second ones and so on; the high ones, mostly zeros, compress well."""
+    return np.frombuffer(ids, np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def ids_of_planes(data: bytes) -> bytes:
+    return np.frombuffer(data, np.uint8).reshape(4, -1).T.tobytes()
+
+
+def pieces(docs: DataFrame, model_path: str, sequence: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
+    """The full windows and the rest of each document: doc_id, start, length, ids_crc32, doc_tokens, ids (as planes)."""
     with open(model_path, "rb") as file:
         model = file.read()
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -113,7 +123,7 @@ def pieces(docs: DataFrame, model_path: str, sequence: int = SEQUENCE, end_id: i
                     length.append(len(part) // 4)
                     crc.append(zlib.crc32(part))
                     total.append(n)
-                    ids.append(part if with_ids else None)
+                    ids.append(planes(part))
             numbers = [pa.array(x, pa.int64()) for x in (start, length, crc, total)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(rows, pa.int64())), *numbers, pa.array(ids, pa.binary())],
@@ -179,8 +189,11 @@ def best_fit(lengths: list[int], sequence: int) -> tuple[list[int], list[int]]:
 
 
 def pack(cut: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
-    """The pieces with their sequence_id and offset. `cut` is written first: its tokens are needed twice."""
-    held = stored(cut, "pieces")
+    """The pieces with their ids, sequence_id and offset, written below `spark.checkpoint.dir`.
+
+    `cut` is written first: its tokens are needed twice. length and ids_crc32 are those of the ids as placed.
+    """
+    held = stored(cut, "pieces", compression="zstd")
     size = held.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("tokens"), F.count("*").alias("rows")).first()
     groups = max(1, -(-size["tokens"] // (sequence * WINDOWS)), -(-size["rows"] // PIECES))
 
@@ -190,11 +203,19 @@ def pack(cut: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
         table = table.sort_by([("length", "descending"), ("ids_crc32", "ascending"), ("doc_id", "ascending"), ("start", "ascending")])
         windows, offsets = best_fit(table.column("length").to_pylist(), sequence)
         first = TaskContext.get().partitionId() << 32
+        ids = pa.array(map(ids_of_planes, table.column("ids").to_pylist()), pa.binary())
+        table = table.drop_columns(["length", "ids_crc32", "ids"]).add_column(3, "ids", ids)
         table = table.append_column("sequence_id", pa.array([first + w for w in windows], pa.int64()))
-        yield from table.append_column("offset", pa.array(offsets, pa.int64())).to_batches(10_000)
+        table = table.append_column("offset", pa.array(offsets, pa.int64()))
+        # A sequence's pieces lie next to each other, in order.
+        yield from table.sort_by([("sequence_id", "ascending"), ("offset", "ascending")]).to_batches(2_000)
 
     # Dealt in turn and not by a key: even groups whatever the ids are.
-    return held.repartition(groups).mapInArrow(place, f"{PIECE_SCHEMA}, sequence_id long, offset long")
+    packed = stored(held.repartition(groups).mapInArrow(place, PLACED_SCHEMA), "packed", compression="zstd")
+    length, crc = F.octet_length("ids").cast("long") / 4, F.crc32("ids")
+    return packed.select(
+        "doc_id", "start", length.cast("long").alias("length"), crc.alias("ids_crc32"), "doc_tokens", "ids", "sequence_id", "offset"
+    )
 
 
 SHAPE = pa.schema(

@@ -91,5 +91,5 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_best_fit_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = packing.pieces(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"), with_ids=False)
+    cut = packing.pieces(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
     return packing.pack(cut).drop("ids")

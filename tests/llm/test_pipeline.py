@@ -68,3 +68,15 @@ def test_stages_return_documents(spark, frame):
 def test_stage_names():
     assert len(corpus_pipeline.STAGES) == 5
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_pipeline_returns_the_tokens(spark, frame):
+    out = corpus_pipeline.STAGES[-1][1](spark, frame(EDGES), SF_DIR).collect()
+    library = Tokenizer.from_file(tokenizer("byte_bpe_50k.json"))
+    parts = defaultdict(dict)
+    for r in out:
+        assert len(r["ids"]) == 4 * r["length"] and zlib.crc32(r["ids"]) == r["ids_crc32"]
+        parts[r["doc_id"]][r["start"]] = r["ids"]
+    for doc_id, text in ((4, "a"), (6, EDGES[7][1])):
+        whole = b"".join(parts[doc_id][s] for s in sorted(parts[doc_id]))
+        assert whole == np.array([*library.encode(text, add_special_tokens=False).ids, 1], "<u4").tobytes()
