@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from divtide.llm import (
+    alignment,
+    centroids,
     decontaminate,
+    fingerprints,
     html_layout,
     jaccard_join,
     line_templates,
@@ -18,7 +21,7 @@ from divtide.llm import (
     toxicity,
 )
 from divtide.llm.common import documents, table
-from divtide.llm.sql import CONTAINMENT_SQL, JACCARD_SQL, RULES_SQL, TEMPLATES_SQL
+from divtide.llm.sql import CLUSTER_SQL, CONTAINMENT_SQL, JACCARD_SQL, RULES_SQL, TEMPLATES_SQL
 
 
 def tokenizer(name: str) -> str:
@@ -93,3 +96,21 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = packing.pieces(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
     return packing.pack(cut).drop("ids")
+
+
+@query("op11_one_permutation_minhash")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fingerprints.fingerprint_documents(documents(spark, sf_dir))
+    written = {c: F.base64(c) for c in ("fingerprint", "edited_fingerprint")}
+    return made.withColumns({"edited_sha256": F.lower(F.hex("edited_sha256")), **written})
+
+
+@query("op12_bisector_tournament", CLUSTER_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_diagonal_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model")
+    return alignment.align_tokenizers(documents(spark, sf_dir), *paths)

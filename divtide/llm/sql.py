@@ -84,3 +84,39 @@ select doc_id, coalesce(string_agg(line, chr(10) order by no) filter (where lost
        cast(count(*) filter (where x <> '') as bigint) as n_lines, cast(count(lost.no) as bigint) as n_dropped
 from (select p.*, d.x from p join d using (r)) q left join lost using (r, no) group by r, doc_id
 """
+
+
+def cluster_sql(rounds: int = 3) -> str:
+    """Rounds of nearest centroids by their distances, one pair of relations each."""
+
+    def nearest(name: str, centroids: str) -> str:
+        return f"""{name} as (
+  select r, vec_id, v, cluster, d from (
+    select e.r, e.vec_id, e.v, c.cluster, list_sum(list_transform(range(1, 65), lambda i: (e.v[i] - c.v[i]) * (e.v[i] - c.v[i]))) as d
+    from e, {centroids} c) qualify row_number() over (partition by r order by d, cluster) = 1)"""
+
+    steps = []
+    for n in range(rounds):
+        steps.append(nearest(f"near{n}", f"c{n}"))
+        steps.append(f"""c{n + 1} as (
+  select c.cluster, coalesce(m.v, c.v) as v from c{n} c left join (
+    select cluster, list(cast(floor_of as bigint) order by pos) as v from (
+      select cluster, pos, (total - ((total % n) + n) % n) // n as floor_of from (
+        select cluster, pos, sum(x) as total, count(*) as n
+        from (select cluster, unnest(v) as x, unnest(range(1, 65)) as pos from near{n}) group by all)) group by cluster) m using (cluster))""")
+    return f"""
+with e as materialized (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as v
+  from embeddings where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64),
+c0 as (select row_number() over (order by h, vec_id) - 1 as cluster, v
+       from (select vec_id, v, sha256('1:' || vec_id) as h from e order by h, vec_id limit 16)),
+{", ".join(steps)},
+{nearest("placed", f"c{rounds}")}
+select vec_id, cast(cluster as integer) as cluster, cast(d as bigint) as distance,
+       cast(sum(d) over (partition by cluster) as bigint) as cluster_inertia, cast(sum(d) over () as bigint) as inertia,
+       sha256(array_to_string(c.v, ',')) as centroid_sha256
+from placed join c{rounds} c using (cluster)
+"""
+
+
+CLUSTER_SQL = cluster_sql()

@@ -1,0 +1,107 @@
+"""Clusters against a plain computation in Python integers."""
+
+import hashlib
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import types as T
+
+from divtide.llm import centroids
+from tests.compare import assert_same, connect
+from divtide.llm.registry import QUERIES
+from divtide.llm.sql import CLUSTER_SQL
+
+VECTORS = T.StructType(
+    [
+        T.StructField("vec_id", T.LongType()),
+        T.StructField("embedding", T.ArrayType(T.DoubleType())),
+        # Names that the operator uses itself.
+        T.StructField("cluster", T.StringType()),
+        T.StructField("vector", T.StringType()),
+        T.StructField("n", T.IntegerType()),
+    ]
+)
+
+
+def plain(rows, clusters=16, rounds=3):
+    """The result by all distances, row by row."""
+    kept = []
+    for i, v in rows:
+        if v is not None and len(v) == 64 and all(x is not None and math.isfinite(x) for x in v):
+            kept.append((i, [int(x) * 64 if abs(x) > 1e300 else math.floor(64 * x) for x in v]))
+    salted = {i: hashlib.sha256(f"1:{'' if i is None else i}".encode()).hexdigest() for i, _ in kept}
+    # Vectors of one id in the order of their bytes; no test here gives one id vectors of both widths.
+    order = sorted(kept, key=lambda r: (salted[r[0]], np.array(r[1], object).astype("<i4").tobytes() if abs(r[1][0]) < 1 << 31 else b""))
+    points = [v for _, v in order[:clusters]]
+
+    def nearest(v):
+        return min((sum((x - y) ** 2 for x, y in zip(v, p)), k) for k, p in enumerate(points))
+
+    for _ in range(rounds):
+        members = {}
+        for _, v in kept:
+            members.setdefault(nearest(v)[1], []).append(v)
+        for k, vs in members.items():
+            points[k] = [sum(column) // len(vs) for column in zip(*vs)]
+    placed = [(i, *nearest(v)[::-1]) for i, v in kept]
+    fit = lambda n: n if n is not None and n < 1 << 63 else None
+    sums = {}
+    for _, k, d in placed:
+        sums[k] = None if fit(d) is None or sums.get(k, 0) is None else sums.get(k, 0) + d
+    whole = None if None in sums.values() else fit(sum(sums.values()))
+    digest = [hashlib.sha256(",".join(map(str, p)).encode()).hexdigest() for p in points]
+    return [(i, k, fit(d), fit(sums[k]), whole, digest[k]) for i, k, d in placed]
+
+
+def check(spark, rows, partitions=3):
+    df = spark.createDataFrame([(i, v, "c", "v", 1) for i, v in rows], VECTORS).repartition(partitions)
+    out = centroids.cluster(df)
+    assert [c for c, _ in out.dtypes] == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+    assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, plain(rows)))
+
+
+def vectors(n, scale=1.0, seed=0):
+    rng = np.random.default_rng(seed)
+    return [(i, v) for i, v in enumerate((rng.normal(size=(n, 64)) * scale).tolist())]
+
+
+def test_given_embeddings(spark):
+    assert assert_same(QUERIES["op12_bisector_tournament"](spark, "/root/testdata/sf0.01"), connect("/root/testdata/sf0.01"), CLUSTER_SQL) > 0
+
+
+@pytest.mark.parametrize("scale", [0.02, 3e4])
+def test_any_vectors(spark, scale):
+    check(spark, vectors(300, scale))
+
+
+def test_left_out_and_repeated(spark):
+    rows = vectors(40)
+    odd = [(50, None), (51, []), (52, [1.0] * 63), (53, [1.0] * 65), (54, [None] + [1.0] * 63), (55, [math.nan] * 64), (56, [math.inf] + [0.0] * 63)]
+    check(spark, rows + odd + [(None, rows[3][1])] + [rows[5]] * 30 + [(5, rows[6][1])])
+
+
+def test_ties_go_to_the_smaller_number(spark):
+    """All vectors equal: every centroid is at the same distance, and all others stay empty."""
+    check(spark, [(i, [0.5, -0.5] * 32) for i in range(50)])
+    check(spark, [(i, [float(i % 2)] + [0.0] * 63) for i in range(64)])
+
+
+def test_few_and_none(spark):
+    check(spark, vectors(5))
+    check(spark, [])
+    check(spark, [(1, None)])
+
+
+def test_components_of_any_size(spark):
+    """Where squares leave a double's or a long's range, clusters stay exact and sums beyond a long are NULL."""
+    rows = vectors(30) + [(100 + i, v) for i, v in vectors(20, 1e6, 1)] + [(200 + i, v) for i, v in vectors(6, 1e30, 2)]
+    check(spark, rows + [(300, [1.7e308] * 64), (301, [-1.7e308] * 64)])
+
+
+def test_small_and_large_agree():
+    rows = np.random.default_rng(4).integers(-50, 50, (200, 64))
+    points = rows[:7].tolist()
+    fast = centroids.Bisectors(points)
+    slow = fast.exactly(True)
+    assert (fast.nearest(rows.astype(float)) == slow.nearest(rows.astype(object))).all()

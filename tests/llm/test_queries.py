@@ -24,12 +24,28 @@ CONTRACTS = {
         "base_failed": "boolean",
         "kept": "boolean",
     },
+    "op11": {
+        "doc_id": "bigint",
+        "n_chars": "bigint",
+        **{c: "string" for c in ("edited_sha256", "fingerprint", "edited_fingerprint")},
+        **{c: "double" for c in ("near_edited", "near_next")},
+    },
+    "op12": {
+        "vec_id": "bigint",
+        "cluster": "int",
+        **{c: "bigint" for c in ("distance", "cluster_inertia", "inertia")},
+        "centroid_sha256": "string",
+    },
+    "op13": {
+        **{c: "bigint" for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")},
+        "groups_sha256": "string",
+    },
     "op10": {c: "bigint" for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")},
 }
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
