@@ -37,7 +37,7 @@ from divtide.llm.token_counts import MARK, PRE_TOKEN, load
 
 HEAD = 1 << 20  # pairs that are broadcast
 HELD = 1 << 21  # pairs that a task holds before it counts them
-REMEMBERED = 300_000  # words whose pieces a worker keeps
+REMEMBERED = 400_000  # words whose pieces a worker keeps
 BUCKETS = 16  # steps of the histogram of counts for each power of two
 ALIGNED = {
     "key": pa.int64(),
@@ -106,22 +106,31 @@ class Pieces(dict):
                 raise ValueError(f"{piece!r} joins two words, so words cannot be encoded one by one")
             self.octets.append(bytes([int(piece[3:5], 16)]) if self.library.is_byte(i) else piece.replace(MARK, " ").encode())
         self.lengths = np.array([len(x) for x in self.octets], np.int64)
+        self.begins = np.array([x[:1] == b" " and not self.library.is_byte(i) for i, x in enumerate(self.octets)])
+
+    def encoded(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of words, encoded as one text; each begins with the only pieces that begin with a space mark."""
+        plain = [word for word in words if word and " " not in word]
+        ids = np.array(self.library.encode(" ".join(plain), num_threads=1), "<u4")
+        data, bounds = ids.tobytes(), [*(4 * np.flatnonzero(self.begins[ids])).tolist(), 4 * len(ids)]
+        out = {word: data[start:end] for word, start, end in zip(plain, bounds, bounds[1:])}
+        for word in words.difference(plain):
+            # The library gives nothing for an empty word; behind its space it is the piece of a space.
+            own = self.library.encode(word, num_threads=1) if word else [self.library.piece_to_id(MARK)]
+            out[word] = np.array(own, "<u4").tobytes()
+        return out
 
     def ids(self, text: str) -> np.ndarray:
         if "  " in text or text[0] == " " or text[-1] == " ":
             words = [x[1:] for x in PRE_TOKEN.findall(" " + text)]
         else:
             words = text.split(" ")
-        try:
-            found = list(map(self.__getitem__, words))
-        except KeyError:
-            if len(self) > REMEMBERED:
-                self.clear()
-            new = [word for word in set(words) if word not in self]
-            # The library gives nothing for an empty word; behind its space it is the piece of a space.
-            encoded = self.library.encode(new, num_threads=1)
-            self.update((w, np.array(e if w else [self.library.piece_to_id(MARK)], "<u4").tobytes()) for w, e in zip(new, encoded))
-            found = list(map(self.__getitem__, words))
+        found = list(map(self.get, words))
+        if None in found:
+            new = self.encoded({word for word, ids in zip(words, found) if ids is None})
+            found = [new[word] if ids is None else ids for word, ids in zip(words, found)]
+            if len(self) < REMEMBERED:
+                self.update(new)
         return np.frombuffer(b"".join(found), "<u4").astype(np.int64)
 
 

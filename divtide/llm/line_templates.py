@@ -32,6 +32,7 @@ LEADING = 4
 SHARE = 0.6
 # Lines of LONG words or more recur in two documents already, shorter ones in SHORT_DOCS.
 LONG, LONG_DOCS, SHORT_DOCS = 16, 2, 8
+COPY = 0.5  # share of the words of both documents that makes one a copy of the other
 VARIABLE = re.compile(rb"[0-9@]")
 FIELD = b"<*>"
 
@@ -139,8 +140,18 @@ def template_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
     return open_lines.join(templates, "leaf").where(alike >= F.col("n_words") * SHARE - 1e-9).select("line")
 
 
-def recurring(docs: DataFrame) -> DataFrame:
-    """ident and `drop`, the fingerprints of lines that this document loses."""
+def copies(lines: DataFrame, lost: DataFrame) -> DataFrame:
+    """ident of documents that share COPY of their words or more with the one document that keeps these, and that
+    make up as much of it: copies, rather than documents with lines from elsewhere."""
+    words = stored(lines.groupBy("ident").agg(F.sum("n_words").alias("words")), "line-words")
+    shared = lost.groupBy("ident", "keeper").agg(F.sum("n_words").alias("shared"))
+    kept = words.select(F.col("ident").alias("keeper"), F.col("words").alias("keeper_words"))
+    alike = shared.join(words, "ident").join(kept, "keeper")
+    return alike.where(F.col("shared") >= COPY * F.greatest("words", "keeper_words") - 1e-9).select("ident")
+
+
+def recurring(docs: DataFrame, spare_copies: bool = False) -> DataFrame:
+    """ident and `drop`, the fingerprints of lines that this document loses; with `spare_copies`, none of a copy's."""
     lines = stored(lines_of(docs), "lines")
     alike = stored(template_lines(docs, lines).withColumn("templated", F.lit(True)), "template-lines")
     own = F.when(F.col("templated"), F.lit(b"")).otherwise(F.col("line"))
@@ -151,13 +162,16 @@ def recurring(docs: DataFrame) -> DataFrame:
     groups = held.groupBy(*key).agg(F.count("*").alias("docs"), F.max("n_words").alias("n_words"), F.min(order).alias("first"))
     groups = groups.where(F.col("docs") >= needed(F.col("n_words"))).select(*key, F.col("first.ident").alias("keeper"))
     lost = lines.join(stored(groups, "recurring"), key).where("ident != keeper")
+    if spare_copies:
+        lost = stored(lost.select("ident", "keeper", "line", "n_words"), "lost")
+        lost = lost.join(copies(lines, lost), "ident", "left_anti")
     return lost.groupBy("ident").agg(F.collect_list("line").alias("drop"))
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, spare_copies: bool = False) -> DataFrame:
     """`row` (the other columns), `text` without the dropped lines, n_lines, n_dropped (long)."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
-    lost = stored(recurring(docs), "dropped")
+    lost = stored(recurring(docs, spare_copies), "dropped")
     joined = identified(docs, row.alias("row")).join(lost, "ident", "left")
     shape = T.StructType(
         [joined.schema["row"], T.StructField("text", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())]
@@ -179,7 +193,11 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     return joined.select("row", "text", "drop").mapInArrow(rewrite, shape)
 
 
-def without_recurring_lines(docs: DataFrame) -> DataFrame:
-    """The documents with their new texts, all columns; `n_chars`, if there is one, follows the text."""
+def without_recurring_lines(docs: DataFrame, spare_copies: bool = False) -> DataFrame:
+    """The documents with their new texts, all columns; `n_chars`, if there is one, follows the text.
+
+    With `spare_copies`, a document that is a copy of another stays whole, for a later search for near copies:
+    stripped of what both share, its rest would no longer be known as one.
+    """
     new = {"text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
-    return dedup_lines(docs).select(*[(new[c] if c in new else F.col("row").getField(c)).alias(c) for c in docs.columns])
+    return dedup_lines(docs, spare_copies).select(*[(new[c] if c in new else F.col("row").getField(c)).alias(c) for c in docs.columns])

@@ -85,6 +85,18 @@ select doc_id, coalesce(string_agg(line, chr(10) order by no) filter (where lost
 from (select p.*, d.x from p join d using (r)) q left join lost using (r, no) group by r, doc_id
 """
 
+# The same, with documents left whole that share at least half of their words with the keeper of these, and that
+# as much of the keeper is made of.
+SPARED_TEMPLATES_SQL = TEMPLATES_SQL.replace(
+    "lost as (select r, no from owned join recurring using (n, lead, own) where ident <> keeper)",
+    """going as (select r, no, ident, keeper, masked, n from owned join recurring using (n, lead, own) where ident <> keeper),
+held as (select ident, sum(n) as words from (select distinct ident, masked, n from owned) group by ident),
+shared as (select ident, keeper, sum(n) as shared from (select distinct ident, keeper, masked, n from going) group by all),
+copies as (select shared.ident from shared join held d on d.ident = shared.ident join held k on k.ident = shared.keeper
+           where shared >= 0.5 * greatest(d.words, k.words) - 1e-9),
+lost as (select r, no from going where ident not in (select ident from copies))""",
+)
+
 
 def cluster_sql(rounds: int = 3) -> str:
     """Rounds of nearest centroids by their distances, one pair of relations each."""

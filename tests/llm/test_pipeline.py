@@ -9,8 +9,8 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from divtide.llm.registry import tokenizer
-from divtide.llm.sql import CONTAINMENT_SQL, JACCARD_SQL, RULES_SQL, TEMPLATES_SQL
-from tests.llm.conftest import EDGES
+from divtide.llm.sql import CONTAINMENT_SQL, JACCARD_SQL, RULES_SQL, SPARED_TEMPLATES_SQL
+from tests.llm.conftest import EDGES, prose
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -23,8 +23,8 @@ def brute_force() -> dict[int, str]:
     con.execute("CREATE TABLE documents AS SELECT * FROM given")
     for select in (
         f"SELECT d.* FROM documents d JOIN ({RULES_SQL}) x USING (doc_id) WHERE kept",
-        f"SELECT doc_id, \"text\" FROM ({TEMPLATES_SQL})",
-        # A class keeps its least document; texts without words are classes of their own.
+        f"SELECT doc_id, \"text\" FROM ({SPARED_TEMPLATES_SQL}) WHERE regexp_matches(\"text\", '[^ \\t-\\r]')",
+        # A class keeps its least document.
         f"SELECT d.* FROM documents d JOIN ({JACCARD_SQL}) x USING (doc_id) WHERE doc_id = class_id",
         f"SELECT * FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM ({CONTAINMENT_SQL}))",
     ):
@@ -80,3 +80,17 @@ def test_pipeline_returns_the_tokens(spark, frame):
     for doc_id, text in ((4, "a"), (6, EDGES[7][1])):
         whole = b"".join(parts[doc_id][s] for s in sorted(parts[doc_id]))
         assert whole == np.array([*library.encode(text, add_special_tokens=False).ids, 1], "<u4").tobytes()
+
+
+def test_copies_reach_the_search_whole(spark, frame):
+    """Near copies of many lines go as a whole, none stays as a fragment; a common passage does go from others."""
+    block = prose(900, 40)
+    lines = [prose(k, 18) for k in range(20)]
+    original, near = "\n".join(lines), "\n".join([*lines[:7], prose(700, 18), *lines[8:]])
+    rows = [(1, original), (2, near), (3, original), (4, f"{prose(5, 200)}\n{block}"), (5, f"{block}\n{prose(6, 200)}"), (6, block)]
+    docs = corpus_pipeline.line_stage(spark, frame(rows), SF_DIR)
+    out = {r["doc_id"]: r["text"] for r in docs.collect()}
+    # The block alone is no copy of a document that it is a small part of; nothing is left of it.
+    assert out == {1: original, 2: near, 3: original, 4: rows[3][1], 5: prose(6, 200)}
+    kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.near_stage(spark, docs, SF_DIR).collect()}
+    assert kept == {i: out[i] for i in (1, 4, 5)}
