@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here is planned for. Partition counts are left to the cluster: AQE merges
 # small shuffle partitions, so `spark.sql.shuffle.partitions` may be set high (input bytes / 200 MB).
@@ -44,3 +44,10 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A path below the scratch root that nothing has used before."""
     return f"{scratch_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def kept_once(df: DataFrame, purpose: str) -> DataFrame:
+    """`df` written to scratch and read back, for what is read several times."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
