@@ -26,6 +26,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--interval", default=INTERVAL, help="how often to look for pages")
     parser.add_argument("--max-files", type=int, default=0, help="files per batch (default: all)")
     parser.add_argument("--only-new", action="store_true", help="do not store rows that the history holds already")
+    parser.add_argument("--audit", action="store_true", help="publish no models whose rows lack values they must have")
     parser.add_argument("--run-id", help="a run done again under its id replaces what it stored")
     parser.add_argument("--csv-staging", action="store_true", help="load the table by way of staged CSV files")
     options = parser.parse_args(argv)
@@ -47,12 +48,13 @@ def main(argv: list[str] | None = None) -> None:
             options.as_of,
             run_id=options.run_id,
             multi_line=options.multi_line,
+            audit=options.audit,
             only_new=options.only_new,
             csv_staging=options.csv_staging,
         )
         print(counts)
     elif options.command == "models":
-        build_models(read_raw(spark, targets.table), options.database, options.as_of)
+        build_models(read_raw(spark, targets.table), options.database, options.as_of, options.audit)
     elif options.command == "check":
         report = not_null_report(spark.table(f"{options.database}.stg_stock_dividends"))
         report.show(truncate=False)
@@ -67,7 +69,7 @@ def main(argv: list[str] | None = None) -> None:
             f"{options.out}/checkpoint",
             max_files=options.max_files,
             interval=options.interval,
-            after_batch=refresh_after(targets.table, options.database, options.as_of),
+            after_batch=refresh_after(targets.table, options.database, options.as_of, options.audit),
             multi_line=options.multi_line,
         ).awaitTermination()
 

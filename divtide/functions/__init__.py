@@ -4,6 +4,7 @@ from divtide.functions.scalars import (
     as_long,
     blank_null_tokens,
     clean_text,
+    day,
     frequency_label,
     lifecycle_stage,
     person_message,
@@ -15,6 +16,7 @@ __all__ = [
     "as_long",
     "blank_null_tokens",
     "clean_text",
+    "day",
     "frequency_label",
     "lifecycle_stage",
     "person_message",

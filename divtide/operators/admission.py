@@ -3,15 +3,13 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-STOP_SCHEMA = "run string, stop long"
-
 # The first page of a run and up to four that follow it.
 MAX_PAGES = 5
 
 
-def ok_pages(log: DataFrame) -> DataFrame:
-    """Pages whose request did not fail."""
-    return log.where("status < 400")
+def ok_pages(log: DataFrame, status: str = "status") -> DataFrame:
+    """Pages whose request did not fail; one that does not say how it ended counts as good."""
+    return log.where(F.col(status).isNull() | (F.col(status) < 400))
 
 
 def admit_pages(
@@ -41,7 +39,7 @@ def admit_pages(
 
 
 def walk_stops(pages: DataFrame) -> DataFrame:
-    """`run` and `stop`, the first place that a walk of any length does not load: a row per run that ends here.
+    """`run` and `stop`, the first place that a walk of any length does not load; NULL for a run that goes on.
 
     A walk ends before a failed page and after a page without `next_url`. Both are minima, so pages are combined
     before the shuffle, runs of any length cost alike, and the stops of parts of a run combine by another minimum.
@@ -49,12 +47,15 @@ def walk_stops(pages: DataFrame) -> DataFrame:
     good = F.when(F.col("seq") == 0, F.col("http_status") < 400).otherwise(F.col("http_status").between(200, 299))
     failed = F.when(~F.coalesce(good, F.lit(False)), F.col("seq"))
     last = F.when(F.coalesce("next_url", F.lit("")) == "", F.col("seq") + 1)
-    stops = pages.where("run IS NOT NULL").groupBy("run").agg(F.least(F.min(failed), F.min(last)).alias("stop"))
-    return stops.where("stop IS NOT NULL")
+    return pages.where("run IS NOT NULL").groupBy("run").agg(F.least(F.min(failed), F.min(last)).alias("stop"))
 
 
 def admitted_pages(pages: DataFrame, stops: DataFrame) -> DataFrame:
-    """Pages before the stop of their run; pages of no run count as admitted, those of no place in one do not."""
-    least = stops.groupBy("run").agg(F.min("stop").alias("stop"))
-    joined = pages.join(least, "run", "left")
+    """Pages before the stop of their run, a row of `stops` for each; those of no run count as admitted, those of
+    no place in one do not.
+
+    `stops` should hold the runs of these pages only. Spark broadcasts it if it is small when measured, and then
+    pages stay where they are.
+    """
+    joined = pages.join(stops, "run", "left")
     return joined.where("run IS NULL OR (seq IS NOT NULL AND (stop IS NULL OR seq < stop))").select(pages.columns)

@@ -1,6 +1,8 @@
 """Bringing frames to the raw schema, flattening, and unions."""
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,3 +52,9 @@ def strict_union(history: DataFrame, batch: DataFrame) -> DataFrame:
     if left != right:
         raise ValueError(f"schemas differ: {left} and {right}")
     return history.union(batch)
+
+
+def null_safe_semi(rows: DataFrame, keys: DataFrame, columns: list[str], anti: bool = False) -> DataFrame:
+    """Rows whose `columns` are among `keys`, or are not with `anti`; NULLs compare as equal."""
+    same = reduce(and_, [F.col(f"rows.{c}").eqNullSafe(F.col(f"keys.{c}")) for c in columns])
+    return rows.alias("rows").join(keys.alias("keys"), same, "left_anti" if anti else "left_semi")
