@@ -74,18 +74,42 @@ def land_pages(rows: DataFrame, path: str, files: int | None = None) -> None:
     (pages.repartition(files) if files else pages).write.mode("append").json(path)
 
 
-def land_walks(spark: SparkSession, sf_dir: str, path: str, first: bool) -> None:
-    """Each event as a page of its user's walk, with one row; the first three pages of a walk, or the others."""
+def land_walks(spark: SparkSession, sf_dir: str, path: str, low: int, high: int | None = None) -> None:
+    """Each event as a page of its user's walk, with one row; the pages from place `low` on and before `high`."""
     place = F.row_number().over(Window.partitionBy("run").orderBy("page")) - 1
     key = F.concat(F.lit("E"), F.col("page").cast("string"))
     row = F.struct(key.alias("id"), F.col("run").alias("ticker"))
-    log = page_log(spark, sf_dir).withColumn("seq", place)
-    pages = log.where("seq < 3" if first else "seq >= 3")
+    pages = page_log(spark, sf_dir).withColumn("seq", place).where(F.col("seq") >= low)
+    if high is not None:
+        pages = pages.where(F.col("seq") < high)
     pages.select(
         F.lit("OK").alias("status"), "next_url", "run", "seq", F.col("status").alias("http_status"), F.array(row).alias("results")
     ).write.mode("append").json(path)
 
 
+def land_loose_pages(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Each order as a page of no walk, with one row; half of them failed, a quarter do not say."""
+    key = F.col("o_orderkey")
+    row = F.struct(F.concat(F.lit("O"), key.cast("string")).alias("id"), F.lit("loose").alias("ticker"))
+    status = F.get(F.array(F.lit(404), F.lit(500), F.lit(200), F.lit(None)), (key % 4).cast("int"))
+    pages = table(spark, sf_dir, "orders").select(F.lit("OK").alias("status"), status.alias("http_status"), F.array(row).alias("results"))
+    pages.write.mode("append").json(path)
+
+
+def complete_part(raw: DataFrame) -> DataFrame:
+    """Rows whose amount and pay date can be cast."""
+    return raw.where("cash_amount <> 'n/a' AND pay_date <> 'bad-date'")
+
+
+def incomplete_part(raw: DataFrame) -> DataFrame:
+    return raw.where("cash_amount = 'n/a' OR pay_date = 'bad-date'")
+
+
+def three_parts(raw: DataFrame) -> list[DataFrame]:
+    """All rows in three batches, so that ids have versions in several of them."""
+    return [raw.where("frequency = '2'"), raw.where("frequency IN ('1', '4', 'x')"), raw.where("frequency IS NULL OR frequency IN ('12', '4.0')")]
+
+
 def land_empty_pages(spark: SparkSession, sf_dir: str, path: str) -> None:
     """A page without rows for each order."""
     table(spark, sf_dir, "orders").select(F.lit('{"status":"OK","results":[]}').alias("page")).write.text(path)

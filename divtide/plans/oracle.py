@@ -228,7 +228,8 @@ ORACLES = {
         LOG,
         ADMITTED,
         select=" UNION ALL ".join(
-            f"SELECT 'E' || CAST(page AS VARCHAR) AS id, run AS ticker, '{sink}' AS sink FROM walked WHERE stops = 0"
+            f"""SELECT 'E' || CAST(page AS VARCHAR) AS id, run AS ticker, '{sink}' AS sink FROM walked WHERE stops = 0
+            UNION ALL SELECT 'O' || CAST(o_orderkey AS VARCHAR), 'loose', '{sink}' FROM orders WHERE o_orderkey % 4 IN (2, 3)"""
             for sink in ("history", "table")
         ),
     ),
@@ -300,4 +301,21 @@ ORACLES = {
     ),
     "model_refresh": sql(*DIM_CHAIN, select="SELECT * FROM dim"),
     "single_run": sql(*CHANGE_CHAIN, TRENDS, select="SELECT * FROM trends"),
+    "trends_refresh": sql(*CHANGE_CHAIN, TRENDS, select="SELECT * FROM trends"),
+    "summary_refresh": sql(*DIM_CHAIN, SUMMARY, select="SELECT * FROM summary"),
+    "audited_build": sql(
+        RAW,
+        "complete AS (SELECT * FROM raw WHERE cash_amount <> 'n/a' AND pay_date <> 'bad-date')",
+        LATEST.replace("FROM raw", "FROM complete"),
+        typed("latest"),
+        STAGED,
+        DIM,
+        select="SELECT * FROM dim",
+    ),
+    "load_ledger": sql(
+        RAW,
+        OTHER,
+        select="""SELECT 'a' AS batch, CAST(0 AS BIGINT) AS rows, count(*) AS rows_after FROM other_part
+        UNION ALL SELECT 'b', count(*), count(*) FROM other_part""",
+    ),
 }

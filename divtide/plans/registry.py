@@ -12,11 +12,12 @@ from divtide.functions import as_date, as_double, as_long
 from divtide.operators.admission import admit_pages, ok_pages
 from divtide.operators.dedup import drop_null_keys, keep_latest
 from divtide.operators.normalize import conform, strict_union, union_rows
-from divtide.operators.quality import batch_metrics, not_null_report
+from divtide.operators.quality import LEDGER, batch_metrics, current_counts, not_null_report
 from divtide.operators.totals import ticker_year_totals, with_change, with_previous_year
 from divtide.plans import fixtures as fx
 from divtide.plans.load import Targets, load_batch
 from divtide.plans.models import (
+    AuditError,
     build_models,
     clean_columns,
     dimension,
@@ -26,9 +27,11 @@ from divtide.plans.models import (
     trends,
 )
 from divtide.plans.run import run_once
-from divtide.session import scratch_dir
-from divtide.sources.history import append_history, new_rows, read_history
+from divtide.session import kept_once, scratch_dir
+from divtide.sources.history import append_history, read_history
 from divtide.sources.pages import page_rows, people, read_nested, read_pages
+from divtide.sources.parts import PartTable
+from divtide.sources.row_index import row_index, rows_not_held
 from divtide.sources.staging_csv import clear_staging, read_staging, write_staging
 from divtide.sources.warehouse import append_raw, create_database, create_raw_table, read_raw
 from divtide.streaming.ingest import ingest_available
@@ -164,8 +167,9 @@ def history_append(spark, sf_dir):
 def history_append_new(spark, sf_dir):
     history = scratch_dir(spark, "history")
     raw = fx.raw_dividends(spark, sf_dir)
-    append_history(fx.first_part(raw), history)
-    append_history(new_rows(raw, read_history(spark, history)), history)
+    append_history(fx.first_part(raw), history, "first")
+    index = row_index(spark, f"{history}_index", history)
+    append_history(rows_not_held(kept_once(raw, "batch"), index, history, "second"), history, "second")
     return read_history(spark, history)
 
 
@@ -262,12 +266,15 @@ def microbatch_replay(spark, sf_dir):
 
 @query("admitted_ingest")
 def admitted_ingest(spark, sf_dir):
-    """Walks over pages that land in two parts; what the stream stores are rows of pages a walk reaches."""
+    """Walks over pages that land in three parts, and pages of no walk; stored are rows of pages a walk reaches,
+    and of pages without one that did not fail."""
     landing, root = scratch_dir(spark, "pages"), scratch_dir(spark, "stream")
     table = f"{database(spark)}.dividends"
     targets = Targets(f"{root}/history", f"{root}/rejects", table, walks=f"{root}/walks")
-    for first in (True, False):
-        fx.land_walks(spark, sf_dir, landing, first)
+    for low, high in ((0, 2), (2, 4), (4, None)):
+        fx.land_walks(spark, sf_dir, landing, low, high)
+        if low == 2:
+            fx.land_loose_pages(spark, sf_dir, landing)
         ingest_available(spark, landing, targets, f"{root}/checkpoint")
     sinks = {"history": read_history(spark, targets.history), "table": read_raw(spark, targets.table)}
     rows = [df.select("id", "ticker", F.lit(name).alias("sink")) for name, df in sinks.items()]
@@ -280,6 +287,23 @@ def batch_counts(spark, sf_dir):
     return batch_metrics(fx.other_part(raw), fx.first_part(raw))
 
 
+@query("load_ledger")
+def load_ledger(spark, sf_dir):
+    """Two batches are loaded, then one of them again from pages without rows; rows by batch and of the history."""
+    landings = [scratch_dir(spark, "pages") for _ in range(3)]
+    root = scratch_dir(spark, "ledger")
+    raw = fx.raw_dividends(spark, sf_dir)
+    fx.land_pages(fx.first_part(raw), landings[0])
+    fx.land_pages(fx.other_part(raw), landings[1])
+    fx.land_empty_pages(spark, sf_dir, landings[2])
+    targets = Targets(f"{root}/history", f"{root}/rejects", f"{database(spark)}.dividends", ledger=f"{root}/ledger")
+    create_raw_table(spark, targets.table, by_batch=True)
+    for batch, landing in (("a", landings[0]), ("b", landings[1]), ("a", landings[2])):
+        counts = load_batch(read_pages(spark, landing), targets, batch)
+    ledger = PartTable(spark, targets.ledger, LEDGER, ["batch"])
+    return current_counts(ledger.read()).select("batch", "rows", F.lit(counts["rows_after"]).cast("long").alias("rows_after"))
+
+
 # Projections and scalar functions, on every raw row
 
 
@@ -428,3 +452,32 @@ def single_run(spark, sf_dir):
     )
     return models["fct_dividend_trends"]
 
+
+@query("trends_refresh")
+def trends_refresh(spark, sf_dir):
+    """The top changes after three batches, kept by differences of the changed rows."""
+    name = database(spark)
+    for part in fx.three_parts(fx.raw_dividends(spark, sf_dir)):
+        models = refresh_models(part, name, fx.AS_OF)
+    return models["fct_dividend_trends"]
+
+
+@query("summary_refresh")
+def summary_refresh(spark, sf_dir):
+    """The rows of the stored summary after three batches, of which each computed its own groups anew."""
+    name = database(spark)
+    for part in fx.three_parts(fx.raw_dividends(spark, sf_dir)):
+        models = refresh_models(part, name, fx.AS_OF)
+    return models["fct_dividend_summary"]
+
+
+@query("audited_build")
+def audited_build(spark, sf_dir):
+    """The dimension that readers see after a batch with missing values failed its audit: the one before."""
+    raw, name = fx.raw_dividends(spark, sf_dir), database(spark)
+    refresh_models(fx.complete_part(raw), name, fx.AS_OF, audit=True)
+    try:
+        refresh_models(fx.incomplete_part(raw), name, fx.AS_OF, audit=True)
+    except AuditError:
+        return spark.table(f"{name}.dim_dividends").drop("loaded_at")
+    raise RuntimeError("rows without values passed the audit")

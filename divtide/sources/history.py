@@ -79,11 +79,6 @@ def read_batch(spark: SparkSession, path: str, batch_id: str) -> DataFrame:
         return spark.createDataFrame([], RAW_SCHEMA)
 
 
-def other_batches(spark: SparkSession, path: str, batch_id: str) -> DataFrame:
-    """The rows that all other batches added."""
-    return batches(spark, path).where(F.col(BATCH_COLUMN) != batch_id).select(RAW_COLUMNS)
-
-
 def new_rows(batch: DataFrame, history: DataFrame) -> DataFrame:
     """Rows of `batch` that the history does not hold, each once; NULLs compare as equal.
 
