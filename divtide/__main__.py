@@ -1,4 +1,5 @@
-"""Command line: `ingest` keeps loading pages, `run` does it once, `models` only rebuilds, `check` fails on gaps.
+"""Command line: `ingest` keeps loading pages, `run` does it once, `models` only rebuilds, `check` fails on gaps,
+`compact` merges the small files of the history.
 
     python -m divtide run --landing s3a://…/pages --out s3a://…/dividends --database dividends
 """
@@ -11,13 +12,14 @@ from pyspark.sql import SparkSession
 from divtide.operators.quality import not_null_report
 from divtide.plans.models import build_models, refresh_after
 from divtide.plans.run import run_once, targets_below
+from divtide.sources.history import compact_history
 from divtide.sources.warehouse import create_database, read_raw
 from divtide.streaming.ingest import INTERVAL, start_ingest
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="divtide", description=__doc__.splitlines()[0])
-    parser.add_argument("command", choices=["ingest", "run", "models", "check"])
+    parser.add_argument("command", choices=["ingest", "run", "models", "check", "compact"])
     parser.add_argument("--database", required=True, help="catalog database of the raw table and the models")
     parser.add_argument("--out", required=True, help="shared folder for history, rejects, staging, checkpoint, tables")
     parser.add_argument("--landing", help="shared folder into which pages land")
@@ -55,6 +57,8 @@ def main(argv: list[str] | None = None) -> None:
         print(counts)
     elif options.command == "models":
         build_models(read_raw(spark, targets.table), options.database, options.as_of, options.audit)
+    elif options.command == "compact":
+        print(f"{compact_history(spark, targets.history)} batches merged")
     elif options.command == "check":
         report = not_null_report(spark.table(f"{options.database}.stg_stock_dividends"))
         report.show(truncate=False)

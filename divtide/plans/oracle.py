@@ -196,6 +196,7 @@ ORACLES = {
         FIRST,
         select="SELECT * FROM first_part UNION ALL (SELECT * FROM raw EXCEPT SELECT * FROM first_part)",
     ),
+    "history_compacted": ALL_RAW,
     "batch_repeat": sql(
         RAW,
         OTHER,

@@ -28,7 +28,7 @@ from divtide.plans.models import (
 )
 from divtide.plans.run import run_once
 from divtide.session import kept_once, scratch_dir
-from divtide.sources.history import append_history, read_history
+from divtide.sources.history import append_history, compact_history, read_history
 from divtide.sources.pages import page_rows, people, read_nested, read_pages
 from divtide.sources.parts import PartTable
 from divtide.sources.row_index import row_index, rows_not_held
@@ -173,6 +173,20 @@ def history_append_new(spark, sf_dir):
     return read_history(spark, history)
 
 
+@query("history_compacted")
+def history_compacted(spark, sf_dir):
+    """Batches are merged, one of them is stored again with other rows, one comes new, and all are merged again."""
+    history = scratch_dir(spark, "history")
+    first, second, third = fx.three_parts(fx.raw_dividends(spark, sf_dir))
+    append_history(first, history, "a")
+    append_history(second.unionByName(first), history, "b")
+    compact_history(spark, history)
+    append_history(second, history, "b")
+    append_history(third, history, "c")
+    compact_history(spark, history)
+    return read_history(spark, history)
+
+
 @query("batch_repeat")
 def batch_repeat(spark, sf_dir):
     """Two batches are stored, then one of them again from pages without rows, which leaves the other's."""

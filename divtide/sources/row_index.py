@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from divtide.operators.normalize import conform
-from divtide.schema import BATCH_COLUMN, RAW_COLUMNS, RAW_SCHEMA
-from divtide.sources.history import batch_folder, batches
+from divtide.schema import BATCH_COLUMN, RAW_COLUMNS
+from divtide.sources.history import batches, read_batches
 from divtide.sources.parts import PARTS, PartTable
 
 SCHEMA = T.StructType([T.StructField("row_hash", T.LongType()), T.StructField("batch", T.StringType())])
@@ -51,8 +51,8 @@ def rows_not_held(rows: DataFrame, index: PartTable, history: str, batch_id: str
     named = [r["batch"] for r in found.select("batch").distinct().collect()]  # names of folders that are read next
     if not named:
         return own.drop("row_hash")
-    held = spark.read.schema(RAW_SCHEMA).parquet(*[batch_folder(history, b) for b in sorted(named)])
-    held = held.withColumn("row_hash", row_hash()).join(own.select("row_hash"), "row_hash", "left_semi").alias("held")
+    held = read_batches(spark, history, sorted(named)).withColumn("row_hash", row_hash())
+    held = held.join(own.select("row_hash"), "row_hash", "left_semi").alias("held")
     same = F.col("own.row_hash") == F.col("held.row_hash")
     for c in RAW_COLUMNS:
         same = same & F.col(f"own.{c}").eqNullSafe(F.col(f"held.{c}"))
