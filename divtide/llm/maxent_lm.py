@@ -194,11 +194,17 @@ def classes_of_units(pairs: np.ndarray) -> np.ndarray:
 # Weights
 
 
+def rows_at(table: np.ndarray, places: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+    """`table[places]`; the places are known to lie in it, which saves a check and a copy."""
+    return np.take(table, places, axis=0, out=out, mode="clip")
+
+
 def probabilities(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Softmax over the classes for each token; rows has a column per feature."""
     sums = np.repeat(weights[:1], len(rows), axis=0)
+    one = np.empty_like(sums)
     for k in range(rows.shape[1]):
-        sums += weights[rows[:, k]]
+        sums += rows_at(weights, rows[:, k], out=one)
     sums -= sums.max(axis=1, keepdims=True)
     np.exp(sums, out=sums)
     sums /= sums.sum(axis=1, keepdims=True)
@@ -211,13 +217,20 @@ def follow_gradient(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray,
     error[np.arange(len(rows)), classes] -= 1
     flat = rows.ravel()
     order = np.argsort(flat, kind="stable")
-    placed = flat[order]
+    placed, token = flat[order], order // rows.shape[1]
     starts = np.flatnonzero(np.append(True, placed[1:] != placed[:-1]))
-    summed = np.add.reduceat(error[order // rows.shape[1]], starts, axis=0)
+    times = np.diff(np.append(starts, len(placed)))
+    # Most rows stand once in a batch, so only the others have something to add up.
+    summed, often = rows_at(error, token[starts]), times > 1
+    if often.any():
+        bounds = np.append(0, np.cumsum(times[often])[:-1])
+        summed[often] = np.add.reduceat(rows_at(error, token[np.repeat(often, times)]), bounds, axis=0)
     touched = placed[starts]
     for at, gradient in ((touched, summed), (np.zeros(1, int), error.sum(axis=0, keepdims=True))):
-        squares[at] += np.square(gradient).mean(axis=1)
-        weights[at] -= RATE * gradient / np.sqrt(squares[at] + 1e-6)[:, None]
+        past = squares[at] + np.einsum("ij,ij->i", gradient, gradient) / np.float32(gradient.shape[1])
+        squares[at] = past
+        gradient *= (RATE / np.sqrt(past + 1e-6))[:, None]
+        weights[at] -= gradient
 
 
 UPDATE_SCHEMA = "block int, task long, tokens double, change binary"
