@@ -37,6 +37,7 @@ from divtide.llm.token_counts import MARK, PRE_TOKEN, load
 
 HEAD = 1 << 20  # pairs that are broadcast
 HELD = 1 << 21  # pairs that a task holds before it counts them
+ROWS = 500  # documents that a worker handles before it hands them on
 REMEMBERED = 400_000  # words whose pieces a worker keeps
 BUCKETS = 16  # steps of the histogram of counts for each power of two
 ALIGNED = {
@@ -72,6 +73,13 @@ def batch_of(schema: dict[str, pa.DataType], columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=list(schema))
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Fewer rows at a time, since a row's arrays are larger than the row."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 class ByteLevel:
     """Ids of a byte-level vocabulary, special strings as plain text; the bytes and the digits of each id."""
 
@@ -264,7 +272,7 @@ def align_documents(docs: DataFrame, shared) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, counts = aligner_of(shared), Counts()
         key = TaskContext.get().partitionId() << 40
-        for batch in batches:
+        for batch in slices(batches):
             rows = [aligner.align(text) for text in batch.column(1).to_pylist()]
             for row in rows:
                 counts.add(row[5])
@@ -320,7 +328,7 @@ def look_up(aligned: DataFrame, shared, head) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, (known, n, best) = aligner_of(shared), head.value
         kept = [c for c in SUMMED if c in ALIGNED and c != "pair"]
-        for batch in batches:
+        for batch in slices(batches):
             columns = {c: batch.column(c) for c in kept}
             n_best, count_sum, keys, rest, rest_links = [], [], [], [], []
             for key, data in zip(batch.column("key").to_pylist(), batch.column("pairs").to_pylist()):
