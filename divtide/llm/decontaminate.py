@@ -10,8 +10,10 @@ Documents are read once. A bitmap of fixed size over the sketches is sent to the
 marks leave a worker, so no shuffle grows with the corpus unless the corpus is contaminated. A full bitmap
 would let more through, never less.
 
-Text is compared in lower case. Defined cases: items with fewer than five words have no shingle to be found
-by and match nothing; NULL or empty texts match nothing. NULL ids are carried. A repeated document row is
+Items of one to four words have one shingle of as many words, and documents are searched for shingles of these
+lengths too, where there are such items.
+
+Text is compared in lower case. Defined cases: items without words, and NULL or empty texts, match nothing. NULL ids are carried. A repeated document row is
 matched once for each row, a repeated item once for each item row. Other columns of either table are not read.
 """
 
@@ -40,17 +42,18 @@ def sketch_size(partition: int, threshold: float) -> int:
     return largest - int(np.ceil(threshold * largest - 1e-9)) + 1
 
 
-def long_shingles(texts: list[str]) -> Iterator[tuple[int, np.ndarray]]:
-    """Place and distinct shingles of each text with five words or more."""
-    for first, out, starts in shingle_runs(texts):
-        for i in range(len(starts) - 1):
-            found = out[starts[i] : starts[i + 1]]
-            if len(found) == 1 and len(texts[first + i].split()) < SIZE:
-                found = found[:0]
-            yield first + i, np.unique(found)
+def item_shingles(texts: list[str]) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Place, shingle length and distinct shingles of each text that has words."""
+    # UTF-8 splits at just the six white-space codes.
+    sizes = [min(SIZE, len(x.encode("utf-8", "surrogatepass").split())) for x in texts]
+    for size in range(1, SIZE + 1):
+        places = [i for i, n in enumerate(sizes) if n == size]
+        for first, out, starts in shingle_runs([texts[i] for i in places], size):
+            for i in range(len(starts) - 1):
+                yield places[first + i], size, np.unique(out[starts[i] : starts[i + 1]])
 
 
-ITEM_SCHEMA = "item_id long, size_partition int, sketch array<long>, shingles array<long>"
+ITEM_SCHEMA = "item_id long, size int, size_partition int, sketch array<long>, shingles array<long>"
 
 
 def item_index(items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -59,22 +62,23 @@ def item_index(items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [x.lower() for x in batch.column(1).to_pylist()]
-            rows, parts, sketches, all_shingles = [], [], [], []
-            for place, found in long_shingles(texts):
-                if len(found):
-                    part = partition_of(len(found))
-                    rows.append(place)
-                    parts.append(part)
-                    sketches.append(found[: sketch_size(part, threshold)].view(np.int64))
-                    all_shingles.append(found.view(np.int64))
+            rows, sizes, parts, sketches, all_shingles = [], [], [], [], []
+            for place, size, found in item_shingles(texts):
+                part = partition_of(len(found))
+                rows.append(place)
+                sizes.append(size)
+                parts.append(part)
+                sketches.append(found[: sketch_size(part, threshold)].view(np.int64))
+                all_shingles.append(found.view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(rows, pa.int64())),
+                    pa.array(sizes, pa.int32()),
                     pa.array(parts, pa.int32()),
                     pa.array(sketches, pa.list_(pa.int64())),
                     pa.array(all_shingles, pa.list_(pa.int64())),
                 ],
-                names=["item_id", "size_partition", "sketch", "shingles"],
+                names=["item_id", "size", "size_partition", "sketch", "shingles"],
             )
 
     read = items.select(F.col("item_id").cast("long").alias("item_id"), whole_text("text").alias("text"))
@@ -94,19 +98,22 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -
     sketches = index.select("item", F.explode("sketch").alias("print"))
     every = index.select(F.explode("shingles").alias("print"))
     shared = spark.sparkContext.broadcast((bitmap(sketches), bitmap(every)))
+    sizes = sorted(r["size"] for r in index.select("size").distinct().collect())
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, rest = map(opened, shared.value)
         for batch in batches:
             texts = [x.lower() for x in batch.column(2).to_pylist()]
             rows, hits = [], []
-            for start, out, starts in shingle_runs(texts):
+            # An item has shingles of one length, so each length can have rows of its own.
+            for start, out, starts in (run for size in sizes for run in shingle_runs(texts, size)):
                 owners = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
                 keep = marked(rest, out)
                 out, owners = out[keep], owners[keep]
-                for i in np.unique(owners[marked(first, out)]):
+                found = np.unique(owners[marked(first, out)])
+                for i, low, high in zip(found, np.searchsorted(owners, found), np.searchsorted(owners, found, "right")):
                     rows.append(start + i)
-                    hits.append(np.unique(out[owners == i]).view(np.int64))
+                    hits.append(np.unique(out[low:high]).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(rows, pa.int64())),

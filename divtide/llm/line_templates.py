@@ -3,8 +3,8 @@
 A line's fields that are surely variable (words with a digit or an @) are masked. The tree's first level is the
 number of words, the next are the four leading words; a leaf holds all lines that agree in those. A leaf's
 template has at each position the word that more than half of its lines have there (each distinct line weighted
-by its documents), and a variable elsewhere. A line belongs to it if 60 % of its words are the template's;
-other lines are their own template. A template recurs if enough documents have it; the document with the
+by its documents), and a variable elsewhere. A line belongs to it if 60 % of its words behind the leading ones,
+and one at least, are the template's; other lines are their own template. A template recurs if enough documents have it; the document with the
 least doc_id (then the least checksum) keeps its lines, all others lose theirs, so nothing vanishes wholly.
 
 The texts are read three times: to number lines, to fetch the words of lines in leaves that hold several
@@ -137,7 +137,9 @@ def template_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
     )
     templates = stored(common.groupBy("leaf").agg(F.collect_list("place").alias("constants")), "templates")
     alike = F.size(F.array_intersect("places", "constants"))
-    return open_lines.join(templates, "leaf").where(alike >= F.col("n_words") * SHARE - 1e-9).select("line")
+    # All lines of a leaf agree in the leading words, so these tell nothing; shorter lines are alone in theirs.
+    enough = F.greatest(F.lit(1.0), (F.col("n_words") - LEADING) * SHARE)
+    return open_lines.join(templates, "leaf").where(alike - LEADING >= enough - 1e-9).select("line")
 
 
 def copies(lines: DataFrame, lost: DataFrame) -> DataFrame:

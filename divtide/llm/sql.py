@@ -31,13 +31,14 @@ select *, 'v2' as policy, (fail_bits & 3) <> 0 as base_failed, fail_bits = 0 as
 
 CONTAINMENT_SQL = r"""
 with it as (select row_number() over () as i, item_id, regexp_extract_all(lower("text"), '[^ \t-\r]+') as ws from benchmark),
-isg as (select distinct i, item_id, array_to_string(ws[k:k + 4], ' ') as g
-        from (select i, item_id, ws, unnest(range(1, len(ws) - 3)) as k from it where len(ws) >= 5)),
+sized as (select *, least(len(ws), 5) as m from it where len(ws) >= 1),
+isg as (select distinct i, item_id, m, array_to_string(ws[k:k + m - 1], ' ') as g
+        from (select i, item_id, ws, m, unnest(range(1, len(ws) - m + 2)) as k from sized)),
 n as (select i, item_id, count(*) as n from isg group by all),
 d as (select row_number() over () as r, doc_id, regexp_extract_all(lower("text"), '[^ \t-\r]+') as ws from documents),
-dsg as (select distinct r, doc_id, array_to_string(ws[k:k + 4], ' ') as g
-        from (select r, doc_id, ws, unnest(range(1, len(ws) - 3)) as k from d where len(ws) >= 5)),
-c as (select r, doc_id, i, count(*) as n_both from dsg join isg using (g) group by all)
+dsg as (select distinct r, doc_id, m, array_to_string(ws[k:k + m - 1], ' ') as g
+        from (select r, doc_id, ws, m, unnest(range(1, len(ws) - m + 2)) as k from d, (select distinct m from sized) where len(ws) >= m)),
+c as (select r, doc_id, i, count(*) as n_both from dsg join isg using (g, m) group by all)
 select doc_id, item_id, cast(n as bigint) as n_shingles, cast(n_both as bigint) as n_shared,
        round(cast(n_both as double) / n, 6) as containment
 from c join n using (i) where n_both >= ceil(0.8 * n - 1e-9)
@@ -74,7 +75,7 @@ places as (select n, lead, masked, docs, leaf_docs, unnest(ws) as token, unnest(
            from counted join leaf using (n, lead)),
 common as (select n, lead, pos, token from places group by n, lead, pos, token having 2 * sum(docs) > any_value(leaf_docs)),
 alike as (select n, lead, masked from places join common using (n, lead, pos, token)
-          group by n, lead, masked having count(*) >= 0.6 * n - 1e-9),
+          group by n, lead, masked having count(*) - 4 >= greatest(1, 0.6 * (n - 4)) - 1e-9),
 owned as (select m.*, case when alike.masked is null then m.masked else '' end as own
           from m left join alike on alike.n = m.n and alike.lead = m.lead and alike.masked = m.masked),
 recurring as (select n, lead, own, first(ident order by doc_id nulls last, ident) as keeper from owned

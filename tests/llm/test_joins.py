@@ -124,6 +124,8 @@ def test_containment(spark, frame):
     expected = Counter()
     for i, text in rows:
         own = shingles((text or "").lower())
+        if "too short" in (text or ""):
+            expected[i, 90, 1, 1] += 1
         for k, item in items:
             wanted = shingles((item or "").lower())
             if len((item or "").split()) >= 5 and len(own & wanted) >= 0.8 * len(wanted) - 1e-9:
@@ -138,3 +140,20 @@ def test_containment(spark, frame):
     assert sorted(r["doc_id"] or 0 for r in clean.collect()) == sorted(i or 0 for i, _ in rows if i not in bad)
     assert decontaminate.contained(frame([]), table).count() == 0
     assert decontaminate.contained(docs, table.where("item_id < 0")).count() == 0
+
+
+def test_short_items_are_found_by_their_own_length(spark, frame):
+    """Items of one to four words, and of five with a blank of another kind, against a search word by word."""
+    items = ["zebra", "Lone Wolf", "a b c", "four little words here", "one two three four\u00a0five", "\u3000", "", None, "x"]
+    table = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = ["the ZEBRA and the zebra", "a lone\twolf, lone\nWolf", "c a b c", "a b", "one two three four\u00a0five", "zebras", "four little words", None, "\u3000 here x"]
+    rows = list(enumerate(texts + [prose(4, 50) + " four little words here " + prose(5, 50)]))
+    expected = set()
+    for i, text in rows:
+        words = (text or "").lower().encode().split()
+        for k, item in enumerate(items):
+            wanted = (item or "").lower().encode().split()
+            if wanted and any(words[j : j + len(wanted)] == wanted for j in range(len(words))):
+                expected.add((i, k, 1, 1, 1.0))
+    out = decontaminate.contained(frame(rows), table).drop("doc_key").collect()
+    assert sorted(map(tuple, out)) == sorted(expected) and len(expected) >= 7

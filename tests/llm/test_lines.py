@@ -49,3 +49,13 @@ def test_edges(frame):
     assert out.schema.names == docs.schema.names
     assert sorted(r["text"] for r in out.collect()) == sorted(t or "" for _, t in EDGES)
     assert dedup_lines(frame([])).count() == 0
+
+
+def test_lines_that_only_begin_alike_are_no_template(frame):
+    """The leading words are those of the leaf; what follows must agree too, by one word at least."""
+    names = [prose(300 + i, 1) for i in range(16)]
+    for line in ("once upon a time {}", "once upon a time the {}", "once upon a time {} and {}"):
+        rows = [(i, f"{prose(500 + i, 30)}\n{line.format(names[i], names[-1 - i])}") for i in range(16)]
+        assert all(n == 0 for _, n in texts(dedup_lines(frame(rows))).values())
+    rows = [(i, f"{prose(500 + i, 30)}\nonce upon a time in the {names[i]}") for i in range(16)]
+    assert sum(n for _, n in texts(dedup_lines(frame(rows))).values()) == 15
