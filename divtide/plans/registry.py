@@ -28,7 +28,7 @@ from divtide.plans.models import (
 )
 from divtide.plans.run import run_once
 from divtide.session import kept_once, scratch_dir
-from divtide.sources.history import append_history, compact_history, read_history
+from divtide.sources.history import append_form, append_history, compact_history, read_history
 from divtide.sources.pages import page_rows, people, read_nested, read_pages
 from divtide.sources.parts import PartTable
 from divtide.sources.row_index import row_index, rows_not_held
@@ -140,7 +140,7 @@ def nested_flatten(spark, sf_dir):
 
 @query("history_evolve")
 def history_evolve(spark, sf_dir):
-    """One folder with files of an older form (typed columns, one missing, one more) and of today's."""
+    """Two writes of an older form (typed columns, one missing, one more), and one of today's."""
     history = scratch_dir(spark, "history")
     raw = fx.raw_dividends(spark, sf_dir)
     typed = {
@@ -149,8 +149,10 @@ def history_evolve(spark, sf_dir):
         "record_date": as_date(F.col("record_date")),
         "note": F.lit("old"),
     }
-    fx.first_part(raw).withColumns(typed).drop("currency").write.parquet(history)
+    older = fx.first_part(raw).withColumns(typed).drop("currency")
+    append_form(older.where("id IS NULL"), history)
     append_history(fx.other_part(raw), history)
+    append_form(older.where("id IS NOT NULL"), history)
     return read_history(spark, history)
 
 

@@ -9,17 +9,56 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from divtide.operators.normalize import conform
 from divtide.schema import BATCH_COLUMN, RAW_COLUMNS, RAW_SCHEMA, all_text
-from divtide.sources.parts import BUILD_SECONDS, TIER, Files
+from divtide.sources.parts import BUILD_SECONDS, TIER, Files, PartTable
 
 # Spark names the files of one write alike: a part number, the write, a counter.
 WRITE_OF_FILE = re.compile(r"part-\d+-(.+?)(?:[-_.]c\d+)?(?:\.[a-z0-9]+)*\.parquet$")
 
 
+FORMS = all_text(["folder", "form"])
+
+
+def forms(spark: SparkSession, path: str) -> PartTable:
+    """A record for each write of a form of its own: its folder and its schema."""
+    return PartTable(spark, f"{path}/_forms", FORMS, ["folder"], parts=1)
+
+
+def append_form(batch: DataFrame, path: str) -> None:
+    """Adds rows to the history in the columns and types they have, and records these.
+
+    The history is then read by one scan for each form, planned from the records: no file is opened to see what
+    it holds, however many writes there were.
+    """
+    spark = batch.sparkSession
+    folder = f"_forms/rows/{uuid4().hex}"
+    batch.write.parquet(f"{path}/{folder}")
+    forms(spark, path).append(spark.createDataFrame([(folder, batch.schema.json())], FORMS))
+
+
+def recorded(spark: SparkSession, path: str) -> list[DataFrame]:
+    """The rows of recorded writes as text, one frame for each form."""
+    by_form = forms(spark, path).read().groupBy("form").agg(F.collect_list("folder").alias("folders")).collect()
+    return [
+        conform(spark.read.schema(T.StructType.fromJson(json.loads(r["form"]))).parquet(*[f"{path}/{f}" for f in r["folders"]]))
+        for r in by_form
+    ]
+
+
 def read_path(spark: SparkSession, path: str) -> DataFrame:
-    """The raw rows below one path, whose files may differ in columns and types.
+    """The raw rows below one path, whose writes may differ in columns and types."""
+    own = Files(spark).names(path)
+    known = recorded(spark, path) if "_forms" in own else []
+    if known and all(name.startswith(("_", ".")) for name in own):
+        return reduce(DataFrame.unionByName, known)
+    return reduce(DataFrame.unionByName, [unrecorded(spark, path), *known])
+
+
+def unrecorded(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of files of which nothing is recorded.
 
     Columns are merged over all files. Where types differ and cannot be merged, files are grouped by the write
     they come from, which gave all its files one schema; each schema is read and brought to text by itself.

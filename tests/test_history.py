@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 
 from divtide.plans.load import Targets, load_batch
 from divtide.schema import RAW_COLUMNS
-from divtide.sources.history import append_history, batches, compact_history, compacted, read_batch, read_history
+from divtide.sources.history import append_form, append_history, batches, compact_history, compacted, read_batch, read_history
 from divtide.sources.pages import read_pages
 from divtide.sources.row_index import index_batch, row_index, rows_not_held
 from divtide.sources.staging_csv import read_staging, write_staging
@@ -110,3 +110,18 @@ def test_staging_files_split(spark, tmp_path):
         assert bag(staged) == bag(rows.select(RAW_COLUMNS))
     finally:
         spark.conf.set(key, before)
+
+
+def test_recorded_forms_are_read_once_each(spark, tmp_path):
+    """Many writes of two forms are two scans, beside that of files of which nothing is recorded."""
+    path = str(tmp_path / "history")
+    for i in range(6):
+        typed = spark.createDataFrame([(f"t{i}", 0.5 + i, 4, "x")], "id string, cash_amount double, frequency int, note string")
+        append_form(typed, path)
+        append_form(frame(spark, dividend(f"r{i}")), path)
+    found = read_history(spark, path)
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 2
+    rows = {r["id"]: (r["cash_amount"], r["frequency"]) for r in found.collect()}
+    assert rows == {**{f"t{i}": (str(0.5 + i), "4") for i in range(6)}, **{f"r{i}": ("1.25", None) for i in range(6)}}
+    append_history(frame(spark, dividend("plain")), path)
+    assert len(ids(read_history(spark, path))) == 13

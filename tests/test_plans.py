@@ -1,10 +1,14 @@
 """What the physical plans must and must not hold."""
 
+from divtide.operators.admission import admitted_pages
 from divtide.plans import fixtures as fx
+from divtide.plans.load import WALKS, stops_so_far
 from divtide.plans.models import clean_columns, dimension, staging, summary
 from divtide.plans.registry import QUERIES
 from divtide.session import scratch_dir
 from divtide.sources.history import append_history, new_rows, read_history
+from divtide.sources.pages import page_rows, read_pages
+from divtide.sources.parts import PartTable
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -70,3 +74,22 @@ def test_summary_deals_out_every_group(spark):
     dimension(staging(fx.raw_dividends(spark, SF_DIR), fx.AS_OF)).write.parquet(path)
     text = plan(summary(spark.read.parquet(path)))
     assert "REPARTITION_BY_NUM" in text and "Union" not in text
+
+
+def test_walks_read_their_own_parts_and_pages_stay(spark):
+    """Stops come from the parts of the batch's runs, not from folders of batches; no page is shuffled."""
+    landing, walks = scratch_dir(spark, "pages"), scratch_dir(spark, "walks")
+    fx.land_walks(spark, SF_DIR, landing, 0, 2)
+    stops_so_far(read_pages(spark, landing), walks, "first", parts=64)
+    later = scratch_dir(spark, "pages")
+    fx.land_walks(spark, SF_DIR, later, 2, 4)
+    pages = read_pages(spark, later).where("run IN ('u1', 'u2')")
+    stops = stops_so_far(pages, walks, "second", parts=64)
+    touched = PartTable(spark, walks, WALKS, ["run"]).touched(pages.where("run IS NOT NULL"))
+    assert len(touched) <= 2
+    files = [f for f in stops.inputFiles() if walks.rsplit("/", 1)[1] in f and "/data/" in f]
+    assert files and all(any(f"part={p}/" in f for p in touched) for f in files)
+    text = plan(page_rows(admitted_pages(pages, stops)))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    for line in text.splitlines():
+        assert not ("Exchange" in line and "results" in line)
