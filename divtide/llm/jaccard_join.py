@@ -2,13 +2,15 @@
 
 1. Each text gets 128 MinHash values and from them 32 band keys of four values. Texts at the threshold share a
    band with a probability above 1 - 10^-7; equal texts are one node from here on.
-2. Within a band key each node is tied to the least one: a line per node and not per pair. The connected
-   components of these ties hold every pair to be compared.
-3. Components are cut into blocks of nodes, and each pair of blocks is one unit of work. There, pairs are
-   compared 32 MinHash values at a time; after each step those are dropped whose posterior probability of
-   reaching the threshold, from a uniform prior, is below a tolerance. The rest are verified exactly on their
-   shingles. A unit returns for each node the number of its links and the least node it hangs together with,
-   so a group of thousands of near copies never becomes a table of pairs.
+2. Nodes that share a band key are compared 32 MinHash values at a time; after each step those pairs are dropped
+   whose posterior probability of reaching the threshold, from a uniform prior, is below a tolerance. Only the low
+   byte of each value is sent for that, which lets a few pairs more through and none less. Pairs that already
+   hang together by others are not compared. A unit of work returns for each node the least one that it hangs
+   together with, so a group of thousands of near copies never becomes a table of pairs.
+3. The connected components of these ties hold every pair that may reach the threshold. They are cut into blocks
+   of nodes, and each pair of blocks is one unit of work. There pairs are pruned again, now on whole values, and
+   the rest verified exactly on their shingles. Texts are sent to these units only. A unit returns for each node
+   the number of its links and the least node it hangs together with.
 4. Classes are the connected components of verified links.
 
 Defined cases: a text without words has no links and a class of its own; texts with one to four words have one
@@ -170,6 +172,85 @@ def pair_links(left: list, right: list | None, threshold: float, tolerance: floa
     return links, [(i, root(i)) for i in np.flatnonzero(links).tolist()]
 
 
+def units_of(batches: Iterator[pa.RecordBatch], width: int = 3) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Key and rows of each unit of work; units arrive whole, one behind the other. The key is the first columns."""
+    current, held = None, []
+    for batch in batches:
+        for row in zip(*[c.to_pylist() for c in batch.columns]):
+            if row[:width] != current:
+                if held:
+                    yield current, held
+                current, held = row[:width], []
+            held.append(row[width:])
+    if held:
+        yield current, held
+
+
+def in_units(members: DataFrame, key: str) -> DataFrame:
+    """Members of groups, dealt so that each pair of blocks of a group is a unit: `key`, low, high, side first.
+
+    `members` have the size `n` of their group; each comes once for every block of it.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK).cast("long")
+    side = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    dealt = (
+        members.withColumn("blocks", blocks)
+        .withColumn("side", side)
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .select(key, F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", *[c for c in members.columns if c not in (key, "n")])
+    )
+    keys = [key, "low", "high"]
+    return dealt.repartition(*keys).sortWithinPartitions(*keys)
+
+
+def hang_together(values: np.ndarray, split: int, across: bool, fewest: tuple[int, ...]) -> np.ndarray:
+    """For each node the least position it hangs together with, by pairs that pruning leaves.
+
+    With `across`, only pairs between the nodes before `split` and those from there on.
+    """
+    group = np.arange(len(values))
+    for a in range(split):
+        others = np.arange(split if across else a + 1, len(values))
+        others = others[group[others] != group[a]]
+        matches = np.zeros(len(others), np.int64)
+        for step, least in enumerate(fewest):
+            part = slice(step * STEP, (step + 1) * STEP)
+            matches += (values[others, part] == values[a, part]).sum(axis=1)
+            stay = matches >= least
+            others, matches = others[stay], matches[stay]
+        if len(others):
+            merged = np.append(group[others], group[a])
+            group[np.isin(group, merged)] = merged.min()
+    return group
+
+
+TIE_SCHEMA = "a long, b long"
+
+
+def candidate_ties(nodes: DataFrame, threshold: float, tolerance: float) -> DataFrame:
+    """Ties (a, b) between nodes that share a band and whose signatures may belong to texts at the threshold."""
+    fewest = fewest_matches(threshold, tolerance)
+    low_bytes = F.expr(f"unhex(array_join(transform(sequence(0, {VALUES - 1}), i -> substr(hex(signature), 8 * i + 1, 2)), ''))")
+    placed = nodes.select("node", F.explode("bands").alias("band"))
+    # Written, so that the join can split a band with very many nodes.
+    shared = stored(placed.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "bands")
+    placed = stored(placed.join(shared, "band"), "band-members")
+    few = nodes.join(placed.select("node").distinct(), "node", "left_semi").select("node", low_bytes.alias("low_bytes"))
+    units = in_units(placed.join(stored(few, "low-bytes"), "node").select("band", "n", "node", "low_bytes"), "band")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, low, high), held in units_of(batches):
+            held.sort()
+            values = np.frombuffer(b"".join(x[2] for x in held), np.uint8).reshape(len(held), VALUES)
+            split = sum(side == low for side, *_ in held) if low != high else len(held)
+            group = hang_together(values, split, low != high, fewest)
+            tied = np.flatnonzero(group != np.arange(len(group)))
+            ends = [[held[i][1] for i in places.tolist()] for places in (tied, group[tied])]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in ends], names=["a", "b"])
+
+    return units.mapInArrow(work, TIE_SCHEMA).distinct()
+
+
 UNIT_SCHEMA = "node long, links long, root long"
 
 
@@ -191,16 +272,8 @@ def verify(units: DataFrame, threshold: float, tolerance: float) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["node", "links", "root"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, held = None, []
-        for batch in batches:
-            for row in zip(*[c.to_pylist() for c in batch.columns]):
-                if row[:3] != current:
-                    if held:
-                        yield flush(held, *current[1:])
-                    current, held = row[:3], []
-                held.append(row[3:])
-        if held:
-            yield flush(held, *current[1:])
+        for (_, low, high), held in units_of(batches):
+            yield flush(held, low, high)
 
     return units.mapInArrow(work, UNIT_SCHEMA)
 
@@ -218,37 +291,16 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     )
     nodes = stored(copies.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
-    placed = nodes.select("node", F.explode("bands").alias("band"))
-    shared = placed.groupBy("band").agg(F.min("node").alias("least"), F.count("*").alias("n")).where("n > 1")
-    ties = placed.join(shared, "band").where("node != least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
-    group = stored(components(ties), "groups")
+    group = stored(components(candidate_ties(nodes, threshold, tolerance)), "groups")
 
     # Written, as are the names below, so that joins with them can split a root with very many nodes.
     sizes = stored(group.groupBy("root").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("long")
-    member = group.join(sizes, "root").select("node", "root", blocks.alias("blocks"))
+    member = group.join(sizes, "root").select("node", "root", "n")
     chosen = stored(member.join(nodes.drop("bands", "first_doc"), "node"), "chosen")
     text = (
         keyed(docs).join(chosen.select("doc_key", "node"), "doc_key").groupBy("node").agg(F.first("text").alias("text"))
     )
-    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    units = (
-        chosen.join(text, "node")
-        .withColumn("block", own)
-        .select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
-        .select(
-            "root",
-            F.least("block", "other").alias("low"),
-            F.greatest("block", "other").alias("high"),
-            F.col("block").alias("side"),
-            "node",
-            "copies",
-            "signature",
-            "text",
-        )
-    )
-    keys = ["root", "low", "high"]
-    units = units.repartition(*keys).sortWithinPartitions(*keys)
+    units = in_units(chosen.join(text, "node").select("root", "n", "node", "copies", "signature", "text"), "root")
     found = stored(verify(units, threshold, tolerance), "links")
 
     links = found.groupBy("node").agg(F.sum("links").alias("links"))

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from divtide.llm import decontaminate, jaccard_join
 from divtide.llm.components import components
@@ -157,3 +158,39 @@ def test_short_items_are_found_by_their_own_length(spark, frame):
                 expected.add((i, k, 1, 1, 1.0))
     out = decontaminate.contained(frame(rows), table).drop("doc_key").collect()
     assert sorted(map(tuple, out)) == sorted(expected) and len(expected) >= 7
+
+
+def test_boilerplate_is_not_compared_on_its_texts(frame):
+    """Texts that share a third of their shingles meet in bands, but only near copies reach the exact comparison."""
+    common = prose(8000, 60)
+    rows = [(k, f"{common} {prose(8100 + k, 60)}") for k in range(240)]
+    near = rows[7][1].split(" ")
+    near[-1] = "changed"
+    rows.append((500, " ".join(near)))
+    nodes = jaccard_join.signatures(frame(rows)).withColumn("node", F.col("doc_id")).select("node", "signature", "bands")
+    shared = nodes.select("node", F.explode("bands").alias("band")).groupBy("band").count().where("count > 1")
+    assert shared.count() > 20
+    ties = jaccard_join.candidate_ties(nodes, 0.8, jaccard_join.TOLERANCE).collect()
+    assert {tuple(sorted(t)) for t in ties} == {(7, 500)}
+    out = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard_join.near_duplicates(frame(rows)).collect()}
+    assert out == {k: (7, 1) if k in (7, 500) else (k, 0) for k, _ in rows}
+
+
+def test_groups_form_like_by_all_pairs():
+    """Nodes that hang together, in one block or across two, are those that pairs connect."""
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 256, (6, jaccard_join.VALUES), dtype=np.uint8)
+    values = base[rng.integers(0, 6, 60)]
+    values = np.where(rng.random(values.shape) < 0.12, rng.integers(0, 256, values.shape), values).astype(np.uint8)
+    fewest = jaccard_join.fewest_matches(0.8, 1e-9)
+    for across in (False, True):
+        parent = list(range(60))
+        for a in range(60):
+            for b in range(a + 1, 60):
+                counts = [(values[a, : (k + 1) * 32] == values[b, : (k + 1) * 32]).sum() for k in range(4)]
+                if all(c >= f for c, f in zip(counts, fewest)) and (not across or a < 25 <= b):
+                    parent = [parent[a] if p == parent[b] else p for p in parent]
+        group = jaccard_join.hang_together(values, 25 if across else 60, across, fewest).tolist()
+        assert {frozenset(np.flatnonzero(np.array(g) == x)) for g in [group] for x in g} == {
+            frozenset(np.flatnonzero(np.array(g) == x)) for g in [parent] for x in g
+        }
