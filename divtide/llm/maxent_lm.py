@@ -363,12 +363,14 @@ class Model:
 
         def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             packed, base10, own10, weights, class_of = shared.value
-            listed = zlib.decompress(packed)
-            place = {END if w == b"\n" else w: i for i, w in enumerate(listed.split(b" "))} if listed else {}
+            names = zlib.decompress(packed)
+            place = {END if w == b"\n" else w: i for i, w in enumerate(names.split(b" "))} if names else {}
             base10, own10 = np.append(base10, 0.0), np.append(own10, 0.0)
             for batch in batches:
                 texts = batch.column(1).to_pylist()
-                out: list[list] = [[], [], [], [], []]
+                out: list[list] = [[], [], [], []]
+                tail: list[list] = [[], [], []]
+                bounds = [0]
                 for first, run in token_runs(texts):
                     rows, classes = run.rows(), class_of[run.units]
                     logs = np.empty(len(classes))
@@ -382,16 +384,21 @@ class Model:
                         tokens.append(END)
                         found = np.fromiter(map(place.get, tokens, repeat(-1)), np.int64, len(tokens))
                         missing = np.flatnonzero(found < 0)
-                        rest = Counter((tokens[j], int(classes[run.starts[i] + j])) for j in missing.tolist())
+                        rest = Counter(zip(map(tokens.__getitem__, missing.tolist()), classes[span][missing].tolist()))
                         out[0].append(len(tokens))
                         out[1].append(len(tokens) - len(missing))
                         out[2].append(float(base10[found].sum()))
                         out[3].append(float(own10[found].sum() + logs[span].sum()))
-                        out[4].append([{"word": w, "class": c, "n": k} for (w, c), k in rest.items()])
-                tail = pa.list_(pa.struct([("word", pa.binary()), ("class", pa.int32()), ("n", pa.int64())]))
-                kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), tail]
+                        for column, values in zip(tail, (*(zip(*rest) if rest else ((), ())), rest.values())):
+                            column.extend(values)
+                        bounds.append(len(tail[0]))
+                kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+                fields = [pa.array(x, kind) for x, kind in zip(tail, (pa.binary(), pa.int32(), pa.int64()))]
+                listed = pa.ListArray.from_arrays(
+                    pa.array(bounds, pa.int32()), pa.StructArray.from_arrays(fields, names=["word", "class", "n"])
+                )
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), *[pa.array(x, kind) for x, kind in zip(out, kinds)]],
+                    [batch.column(0), *[pa.array(x, kind) for x, kind in zip(out, kinds)], listed],
                     names=["doc_id", "n_tokens", "known", "base", "score", "tail"],
                 )
 
