@@ -165,6 +165,13 @@ def single_batches(spark: SparkSession, path: str, state: dict | None) -> DataFr
     return rows.where(~F.col(BATCH_COLUMN).isin(state["pending"])) if state and state["pending"] else rows
 
 
+def sorted_by_batch(rows: DataFrame) -> DataFrame:
+    """Rows in ranges of the batch and, within one, of the place where they were read, so that a batch of any
+    size, or of copies of one row, is cut over as many tasks as there are."""
+    placed = rows.withColumn("place", F.monotonically_increasing_id())
+    return placed.repartitionByRange(BATCH_COLUMN, "place").sortWithinPartitions(BATCH_COLUMN).drop("place")
+
+
 def compact_history(spark: SparkSession, path: str, seconds: float = BUILD_SECONDS) -> int:
     """Merges all batches that lie in folders of their own into few files; returns how many these were.
 
@@ -189,7 +196,7 @@ def compact_history(spark: SparkSession, path: str, seconds: float = BUILD_SECON
         held = held.unionByName(merged_rows(spark, path, state))
         listed = listed.union(merged_names(spark, path, state)).distinct()
     merged = f"_compacted/{uuid4().hex}"
-    held.repartitionByRange(BATCH_COLUMN).sortWithinPartitions(BATCH_COLUMN).write.parquet(f"{path}/{merged}/rows")
+    sorted_by_batch(held).write.parquet(f"{path}/{merged}/rows")
     listed.coalesce(1).write.parquet(f"{path}/{merged}/names")
     changes = {"folders": [merged] if anew else [*folders, merged], "pending": sorted({*state["pending"], *names})}
     if anew:

@@ -1,11 +1,13 @@
 """Compaction of the history, and staging files that split."""
 
+from collections import Counter
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from divtide.plans.load import Targets, load_batch
 from divtide.schema import RAW_COLUMNS
-from divtide.sources.history import append_form, append_history, batches, compact_history, compacted, read_batch, read_history
+from divtide.sources.history import append_form, append_history, batches, compact_history, compacted, read_batch, read_history, sorted_by_batch
 from divtide.sources.pages import read_pages
 from divtide.sources.row_index import index_batch, row_index, rows_not_held
 from divtide.sources.staging_csv import read_staging, write_staging
@@ -125,3 +127,18 @@ def test_recorded_forms_are_read_once_each(spark, tmp_path):
     assert rows == {**{f"t{i}": (str(0.5 + i), "4") for i in range(6)}, **{f"r{i}": ("1.25", None) for i in range(6)}}
     append_history(frame(spark, dividend("plain")), path)
     assert len(ids(read_history(spark, path))) == 13
+
+
+def test_one_large_batch_is_merged_by_many_tasks(spark):
+    """Rows of one batch, and copies of one row, are cut over tasks and stay sorted by batch."""
+    rows = spark.range(0, 4_000, numPartitions=4).selectExpr("CASE WHEN id < 3900 THEN 'a' ELSE 'b' END AS ingest_batch", "'x' AS id")
+    merged = sorted_by_batch(rows)
+    placed = merged.selectExpr("spark_partition_id() AS task", "ingest_batch")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = [(r["task"], r["ingest_batch"]) for r in placed.collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = Counter(task for task, batch in found if batch == "a")
+    assert merged.columns == rows.columns and len(sizes) > 4 and max(sizes.values()) < 1_500
+    assert found == sorted(found) and [batch for _, batch in found] == ["a"] * 3_900 + ["b"] * 100
