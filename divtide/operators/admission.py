@@ -55,7 +55,10 @@ def admitted_pages(pages: DataFrame, stops: DataFrame) -> DataFrame:
     no place in one do not.
 
     `stops` should hold the runs of these pages only. Spark broadcasts it if it is small when measured, and then
-    pages stay where they are.
+    pages stay where they are. Where it does not, pages of no run, which may be all, are dealt out one by one:
+    as a join key NULL would bring them all to one task.
     """
-    joined = pages.join(stops, "run", "left")
+    loose = F.when(F.col("run").isNull(), F.monotonically_increasing_id())
+    dealt = pages.withColumn("loose", F.coalesce(loose, F.lit(-1).cast("long")))
+    joined = dealt.join(stops.withColumn("loose", F.lit(-1).cast("long")), ["run", "loose"], "left")
     return joined.where("run IS NULL OR (seq IS NOT NULL AND (stop IS NULL OR seq < stop))").select(pages.columns)

@@ -4,6 +4,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Settings every job here is planned for. Partition counts are left to the cluster: AQE merges
 # small shuffle partitions, so `spark.sql.shuffle.partitions` may be set high (input bytes / 200 MB).
@@ -46,6 +48,11 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """A relation that Spark knows has no rows, so that joins and unions with it are planned away."""
+    return spark.range(1).where("false").select([F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+
 def kept_once(df: DataFrame, purpose: str) -> DataFrame:
     """`df` written to scratch and read back, for what is read several times."""
     path = scratch_dir(df.sparkSession, purpose)

@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from divtide.session import empty
+
 PARTS = 8  # that a table begins with, if it is not told how many
 TIER = 8
 # How long a build stays readable after it was replaced.
@@ -147,7 +149,7 @@ class PartTable:
 
     def _rows(self, folders: list[str]) -> DataFrame:
         if not folders:
-            return self.spark.createDataFrame([], self.schema)
+            return empty(self.spark, self.schema)
         return self.spark.read.schema(self.schema).parquet(*[f"{self.root}/{f}" for f in folders])
 
     def _write(self, rows: DataFrame) -> dict[int, str]:

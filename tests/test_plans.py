@@ -5,7 +5,7 @@ from divtide.plans import fixtures as fx
 from divtide.plans.load import WALKS, stops_so_far
 from divtide.plans.models import clean_columns, dimension, staging, summary
 from divtide.plans.registry import QUERIES
-from divtide.session import scratch_dir
+from divtide.session import empty, scratch_dir
 from divtide.sources.history import append_history, new_rows, read_history
 from divtide.sources.pages import page_rows, read_pages
 from divtide.sources.parts import PartTable
@@ -93,3 +93,20 @@ def test_walks_read_their_own_parts_and_pages_stay(spark):
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
     for line in text.splitlines():
         assert not ("Exchange" in line and "results" in line)
+
+
+def test_pages_of_no_run_are_not_brought_to_one_task(spark):
+    """Where stops are not broadcast, NULL runs are dealt out; where there are none, nothing is joined."""
+    pages = spark.range(0, 4_000, numPartitions=4).selectExpr("CASE WHEN id = 0 THEN 'none' END AS run", "0L AS seq", "id")
+    stops = spark.range(8).selectExpr("CAST(id AS STRING) AS run", "id AS stop")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        tasks = admitted_pages(pages, stops).selectExpr("spark_partition_id() AS task").groupBy("task").count().collect()
+        alone = plan(admitted_pages(pages, empty(spark, stops.schema)))
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert sum(r["count"] for r in tasks) == 4_000 and max(r["count"] for r in tasks) < 1_000
+    assert "Exchange" not in alone and "Join" not in alone
