@@ -50,12 +50,15 @@ def top_changes(changes: DataFrame, n: int = 10) -> DataFrame:
     ).limit(n)
 
 
-def total_state(rows: DataFrame) -> DataFrame:
-    """Per ticker and pay year: the sum of amounts, how many there are, how many are odd, how many rows."""
+def total_state(rows: DataFrame, by: list[str] = ["ticker", "year"]) -> DataFrame:
+    """Per ticker and pay year: the sum of amounts, how many there are, how many are odd, how many rows.
+
+    Other columns to group `by` may be given: those of `rows`, and `year` and `pay_year`, which are the same.
+    """
     cash = F.col("cash_amount")
     exact = F.when(F.abs(cash) < 1e9, cash.try_cast(AMOUNT))
     fits = F.coalesce(exact.cast("double") == cash, F.lit(False))
-    return rows.groupBy("ticker", F.year("pay_date").alias("year")).agg(
+    return rows.withColumns({c: F.year("pay_date") for c in ("year", "pay_year")}).groupBy(by).agg(
         F.coalesce(F.sum(F.when(fits, exact)), F.lit(0)).cast(AMOUNT).alias("amount"),
         F.count("cash_amount").alias("n_amounts"),
         F.count_if(cash.isNotNull() & ~fits).alias("n_odd"),

@@ -13,9 +13,9 @@ from divtide.operators.dedup import drop_null_keys, keep_latest
 from divtide.operators.normalize import conform, null_safe_semi
 from divtide.operators.totals import (
     GROUP_KEYS,
+    STATE_SUMS,
     TOTAL_STATE,
     dividend_groups,
-    group_keys,
     merged_states,
     negated_state,
     state_totals,
@@ -156,16 +156,17 @@ class ModelTables:
     def __init__(self, spark: SparkSession, database: str):
         self.spark, self.database = spark, database
         root = spark.catalog.getDatabase(database).locationUri
-        empty = staged(no_rows(spark), "2000-01-01")
+        no_stg = staged(no_rows(spark), "2000-01-01")
+        self.changes: dict[tuple[int, int], DataFrame] = {}
 
         def table(name: str, schema: T.StructType, keys: list[str]) -> PartTable:
             return PartTable(spark, f"{root}/{name}", schema, keys)
 
         self.latest = table("dividends_latest", RAW_SCHEMA, ["id"])
-        self.stg = table("stg_stock_dividends", empty.schema, ["dividend_id"])
-        self.dim = table("dim_dividends", dimension(empty).schema, ["dividend_id"])
+        self.stg = table("stg_stock_dividends", no_stg.schema, ["dividend_id"])
+        self.dim = table("dim_dividends", dimension(no_stg).schema, ["dividend_id"])
         self.totals = table("ticker_year_totals", TOTAL_STATE, ["ticker"])
-        self.groups = table("dividend_groups", dividend_groups(dimension(empty)).schema, GROUP_KEYS)
+        self.groups = table("dividend_groups", dividend_groups(dimension(no_stg)).schema, GROUP_KEYS)
         # An id lies in the same part of each of these.
         self.stg.deal(self.latest.parts)
         self.dim.deal(self.latest.parts)
@@ -200,7 +201,7 @@ class ModelTables:
         # Rows that lack a value are known of the parts that stay; others are counted as they were written.
         known = {p: n for p, n in notes.get("failures", {}).items() if int(p) not in parts}
         notes = {"source": source.number, "day": as_of, "failures": known}
-        self.stg.replace(staged(self.latest.read(parts), as_of), parts, notes)
+        self.stg.replace(staged(self.latest.read(parts), as_of), parts, notes, in_parts=True)
         unknown = [p for p in range(self.stg.parts) if str(p) not in known]
         failures = {str(p): dict.fromkeys(NOT_NULL_COLUMNS, 0) for p in unknown}
         if unknown:
@@ -211,39 +212,44 @@ class ModelTables:
 
         before = self.dim.build()
         parts = build.changed(self.stg.build(before.notes["source"]) if before else None)
-        self.dim.replace(dimension(self.stg.read(parts)), parts, {"source": build.number})
+        self.dim.replace(dimension(self.stg.read(parts)), parts, {"source": build.number}, in_parts=True)
 
     def failures(self) -> dict[str, int]:
         """How many rows of the newest staging build lack a value in each column that must have one."""
         known = self.stg.build().notes["failures"].values()
         return {c: sum(n[c] for n in known) for c in NOT_NULL_COLUMNS}
 
-    def changed_rows(self, since: int) -> tuple[DataFrame, DataFrame] | None:
-        """The cleaned latest rows of all ids merged since a build, as they were then and as they are now.
+    def changed_groups(self, since: int) -> DataFrame | None:
+        """What the latest rows of all ids merged since a build brought then, negated, and what they bring now.
 
-        None where that is not known: the build is gone, or all rows were replaced since.
+        States by group of the summary, for each group that one of these rows was or is in. They are computed
+        once, for totals and groups. None where that is not known: the build is gone, or all rows were replaced
+        since.
         """
         now, then = self.latest.build(), self.latest.build(since)
         builds = [self.latest.build(n) for n in range(since + 1, now.number + 1)]
         if then is None or not all(b and b.notes.get("ids") for b in builds):
             return None
         if not builds:
-            return clean_columns(no_rows(self.spark)), clean_columns(no_rows(self.spark))
+            return total_state(clean_columns(no_rows(self.spark)), GROUP_KEYS)
+        if (since, now.number) in self.changes:
+            return self.changes[since, now.number]
         ids = self.spark.read.schema("id string").parquet(*[b.notes["ids"] for b in builds]).distinct()
         parts = now.changed(then)
         old, new = (self.latest.read(parts, b).join(ids, "id", "left_semi") for b in (then, now))
-        return clean_columns(old), clean_columns(new)
+        old, new = (total_state(clean_columns(rows), GROUP_KEYS) for rows in (old, new))
+        self.changes[since, now.number] = kept_once(negated_state(old).unionByName(new), "change")
+        return self.changes[since, now.number]
 
     def refresh_totals(self) -> None:
         """Yearly totals: what changed rows brought before leaves its group, what they bring now enters."""
         now, before = self.latest.build().number, self.totals.build()
-        changed = self.changed_rows(before.notes["source"]) if before else None
+        changed = self.changed_groups(before.notes["source"]) if before else None
         if changed is None:
             self.totals.replace(total_state(clean_columns(self.latest.read())), notes={"source": now})
             return
-        old, new = changed
-        change = merged_states(negated_state(total_state(old)).unionByName(total_state(new)), drop_unchanged=True)
-        change = kept_once(change, "change")
+        states = changed.select("ticker", F.col("pay_year").alias("year"), *STATE_SUMS)
+        change = kept_once(merged_states(states, drop_unchanged=True), "change")
         touched = self.totals.touched(change)
         merged = merged_states(self.totals.read(touched).unionByName(change)) if touched else change
         self.totals.replace(merged, touched, {"source": now})
@@ -252,14 +258,14 @@ class ModelTables:
         """Groups of the summary: those that a changed row was or is in are computed anew, from their rows only."""
         now, before = self.latest.build().number, self.groups.build()
         rows = self.dim.read()
-        changed = self.changed_rows(before.notes["source"]) if before else None
+        changed = self.changed_groups(before.notes["source"]) if before else None
         if changed is None:
             self.groups.replace(dividend_groups(rows), notes={"source": now})
             return
-        old, new = (group_keys(df).select(GROUP_KEYS) for df in changed)
-        keys = kept_once(old.unionByName(new).distinct(), "groups")
+        keys = kept_once(changed.select(GROUP_KEYS).distinct(), "groups")
         touched = self.groups.touched(keys)
-        again = dividend_groups(null_safe_semi(group_keys(rows), keys, GROUP_KEYS))
+        # Spark filters the rows by keys that it can broadcast; with more, groups are joined and not rows.
+        again = null_safe_semi(dividend_groups(rows), keys, GROUP_KEYS)
         others = null_safe_semi(self.groups.read(touched), keys, GROUP_KEYS, anti=True) if touched else again
         self.groups.replace(others.unionByName(again), touched, {"source": now})
 

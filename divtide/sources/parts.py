@@ -152,12 +152,17 @@ class PartTable:
             return empty(self.spark, self.schema)
         return self.spark.read.schema(self.schema).parquet(*[f"{self.root}/{f}" for f in folders])
 
-    def _write(self, rows: DataFrame) -> dict[int, str]:
-        """Writes rows and returns the new folder of each part that has some."""
+    def _write(self, rows: DataFrame, in_parts: bool = False) -> dict[int, str]:
+        """Writes rows and returns the new folder of each part that has some.
+
+        Rows `in_parts` come from folders of parts that are dealt alike: tasks that read these have few parts
+        each, so nothing is shuffled.
+        """
         name = f"data/{uuid4().hex}"
         dealt = rows.select(*self.schema.names, self.part().alias("part"))
-        # Tasks get whole small parts, and slices of large ones.
-        dealt = self.spark.sql("SELECT /*+ REBALANCE(part) */ * FROM {dealt}", dealt=dealt)
+        if not in_parts:
+            # Tasks get whole small parts, and slices of large ones.
+            dealt = self.spark.sql("SELECT /*+ REBALANCE(part) */ * FROM {dealt}", dealt=dealt)
         dealt.write.partitionBy("part").parquet(f"{self.root}/{name}")
         found = [n for n in self.files.names(f"{self.root}/{name}") if n.startswith("part=")]
         return {int(n.removeprefix("part=")): f"{name}/{n}" for n in found}
@@ -167,13 +172,18 @@ class PartTable:
         self.files.create(f"{self.root}/builds/{made.number:010d}.json", made.text())
         return made
 
-    def replace(self, rows: DataFrame, parts: list[int] | None = None, notes: dict | None = None) -> Build:
-        """Gives `parts` (all by default) the given rows in place of theirs; other parts keep their folders."""
+    def replace(
+        self, rows: DataFrame, parts: list[int] | None = None, notes: dict | None = None, in_parts: bool = False
+    ) -> Build:
+        """Gives `parts` (all by default) the given rows in place of theirs; other parts keep their folders.
+
+        `in_parts` says that the rows were read, and only projected, from a table with the same keys and parts.
+        """
         base = self.build()
         parts = list(range(self.parts)) if parts is None else parts
         if base and base.parts != self.parts and len(parts) < self.parts:
             raise ValueError(f"{self.root} has {base.parts} parts, so {self.parts} can only be written together")
-        written = self._write(rows) if parts else {}
+        written = self._write(rows, in_parts) if parts else {}
         if not set(written) <= set(parts):
             raise ValueError(f"rows of parts {sorted(set(written) - set(parts))}, which are not replaced")
         kept = {p: f for p, f in base.folders.items() if p not in set(parts)} if base and base.parts == self.parts else {}

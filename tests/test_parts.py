@@ -311,3 +311,33 @@ def test_audit_keeps_readers_on_the_last_good_build(spark, database):
     with pytest.raises(AuditError):
         build_models(bad, database, "2024-06-01", audit=True)
     assert shown() == ["1", "2", "3", "4"]
+
+
+def test_rows_read_from_parts_are_written_where_they_lie(spark, tmp_path):
+    """Rows of a table that is dealt alike need no shuffle; those of parts that are not replaced still fail."""
+    rows = [(f"k{i}", i) for i in range(200)] + [(None, 0)]
+    tables = [PartTable(spark, str(tmp_path / name), PAIRS, ["key"], parts=8) for name in "ab"]
+    first = tables[0].replace(pairs(spark, *rows))
+    store, shuffles = spark.sparkContext.statusTracker(), f"shuffles-{uuid4().hex}"
+    spark.sparkContext.setJobGroup(shuffles, "")
+    try:
+        made = tables[1].replace(tables[0].read().withColumn("n", F.col("n") + 1), in_parts=True)
+        stages = [len(store.getJobInfo(job).stageIds) for job in store.getJobIdsForGroup(shuffles)]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert stages == [1]
+    assert held(tables[1]) == sorted([(k, n + 1) for k, n in rows], key=repr) and set(made.folders) == set(first.folders)
+    for p in made.folders:
+        assert [k for k, _ in held(tables[1], parts=[p])] == [k for k, _ in held(tables[0], parts=[p])]
+    with pytest.raises(ValueError):
+        tables[1].replace(tables[0].read(), [0], in_parts=True)
+
+
+def test_changes_are_joined_once_for_totals_and_groups(spark, database):
+    refresh_models(frame(spark, *[dividend(f"id{i}", pay_date="2024-01-01") for i in range(20)]), database, "2024-06-01")
+    tables = ModelTables(spark, database)
+    since = tables.latest.build().number
+    tables.merge(frame(spark, dividend("id3", pay_date="2025-01-01", cash_amount="4")))
+    found = tables.changed_groups(since)
+    assert tables.changed_groups(since) is found
+    assert sorted((r["pay_year"], float(r["amount"]), r["n_rows"]) for r in found.collect()) == [(2024, -1.25, -1), (2025, 4.0, 1)]
