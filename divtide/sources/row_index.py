@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from divtide.operators.normalize import conform
 from divtide.schema import BATCH_COLUMN, RAW_COLUMNS
-from divtide.sources.history import batches, read_batches
+from divtide.sources.history import batches, new_rows, read_batches
 from divtide.sources.parts import PARTS, PartTable
 
 SCHEMA = T.StructType([T.StructField("row_hash", T.LongType()), T.StructField("batch", T.StringType())])
@@ -40,20 +40,17 @@ def index_batch(index: PartTable, rows: DataFrame, batch_id: str) -> None:
 def rows_not_held(rows: DataFrame, index: PartTable, history: str, batch_id: str) -> DataFrame:
     """Rows that no other batch of the history holds, each once; NULLs compare as equal.
 
-    `rows` are read several times: give rows that are stored. Copies collapse before the only shuffle of whole
-    rows. What is joined with the index are hashes; Spark broadcasts those of a batch that is small when
-    measured, so that the index is not shuffled, and joins by shuffle beyond that.
+    `rows` are read several times: give rows that are stored. Their hashes alone are joined with the index and
+    with the rows of the batches found there; Spark broadcasts those of a batch that is small when measured, so
+    that neither is shuffled, and joins by shuffle beyond that. The rows themselves are shuffled once, grouped
+    with the rows they may equal, and copies collapse before that.
     """
     spark = rows.sparkSession
-    own = conform(rows).distinct().withColumn("row_hash", row_hash())
-    entries = index.read(index.touched(conform(rows).select(row_hash().alias("row_hash"))))
-    found = entries.where(F.col("batch") != batch_id).join(own.select("row_hash"), "row_hash", "left_semi")
+    hashes = conform(rows).select(row_hash().alias("row_hash"))
+    entries = index.read(index.touched(hashes))
+    found = entries.where(F.col("batch") != batch_id).join(hashes, "row_hash", "left_semi")
     named = [r["batch"] for r in found.select("batch").distinct().collect()]  # names of folders that are read next
     if not named:
-        return own.drop("row_hash")
+        return conform(rows).distinct()
     held = read_batches(spark, history, sorted(named)).withColumn("row_hash", row_hash())
-    held = held.join(own.select("row_hash"), "row_hash", "left_semi").alias("held")
-    same = F.col("own.row_hash") == F.col("held.row_hash")
-    for c in RAW_COLUMNS:
-        same = same & F.col(f"own.{c}").eqNullSafe(F.col(f"held.{c}"))
-    return own.alias("own").join(held, same, "left_anti").drop("row_hash")
+    return new_rows(rows, held.join(hashes, "row_hash", "left_semi"))

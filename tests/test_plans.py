@@ -9,6 +9,7 @@ from divtide.session import empty, scratch_dir
 from divtide.sources.history import append_history, new_rows, read_history
 from divtide.sources.pages import page_rows, read_pages
 from divtide.sources.parts import PartTable
+from divtide.sources.row_index import row_index, rows_not_held
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -110,3 +111,14 @@ def test_pages_of_no_run_are_not_brought_to_one_task(spark):
             spark.conf.unset(key)
     assert sum(r["count"] for r in tasks) == 4_000 and max(r["count"] for r in tasks) < 1_000
     assert "Exchange" not in alone and "Join" not in alone
+
+
+def test_rows_not_held_shuffle_whole_rows_once(spark):
+    """The index and the rows it names are found by hashes; the batch's rows are grouped once and not joined."""
+    history, raw = scratch_dir(spark, "history"), fx.raw_dividends(spark, SF_DIR)
+    append_history(fx.first_part(raw), history, "first")
+    found = rows_not_held(raw, row_index(spark, f"{history}_index", history), history, "second")
+    text = plan(found)
+    assert text.count("Exchange hashpartitioning(cash_amount") == 1 and "LeftAnti" not in text
+    expected = raw.distinct().exceptAll(fx.first_part(raw).distinct())
+    assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
