@@ -9,6 +9,7 @@ AS_OF = "1999-06-30"
 LATER = "2000-01-31"
 FREQUENCIES = ["1", "2", "4", "12", "4.0", "x"]  # by line number; a seventh line has none
 PAGE_ROWS = 1_000
+PAGE_CODEC = "snappy"
 PEOPLE_PER_PAYLOAD = 64
 
 
@@ -63,7 +64,10 @@ def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def land_pages(rows: DataFrame, path: str, files: int | None = None) -> None:
-    """Writes `rows` as JSON pages, one per line, of at most `PAGE_ROWS` rows each."""
+    """Writes `rows` as JSON pages, one per line, of at most `PAGE_ROWS` rows each.
+
+    Files are compressed: as plain text, the names of ten columns in each row are most of what a load would write.
+    """
     page = F.expr(f"monotonically_increasing_id() div {PAGE_ROWS}")
     pages = (
         rows.select(page.alias("page"), F.struct(*rows.columns).alias("row"))
@@ -71,7 +75,7 @@ def land_pages(rows: DataFrame, path: str, files: int | None = None) -> None:
         .agg(F.collect_list("row").alias("results"))
         .select(F.lit("OK").alias("status"), "results")
     )
-    (pages.repartition(files) if files else pages).write.mode("append").json(path)
+    (pages.repartition(files) if files else pages).write.mode("append").json(path, compression=PAGE_CODEC)
 
 
 def land_walks(spark: SparkSession, sf_dir: str, path: str, low: int, high: int | None = None) -> None:

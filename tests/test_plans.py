@@ -113,6 +113,16 @@ def test_pages_of_no_run_are_not_brought_to_one_task(spark):
     assert "Exchange" not in alone and "Join" not in alone
 
 
+def test_landed_pages_are_compressed(spark):
+    """Pages take a fraction of their text, and give the rows back."""
+    landing, rows = scratch_dir(spark, "pages"), spark.range(5_000).selectExpr("CAST(id AS STRING) AS id", "'USD' AS currency")
+    fx.land_pages(rows, landing)
+    files = spark.read.format("binaryFile").load(landing).agg({"length": "sum"}).first()[0]
+    text = spark.read.text(landing).selectExpr("sum(length(value))").first()[0]
+    assert files < text / 2
+    assert sorted(r["id"] for r in page_rows(read_pages(spark, landing)).collect()) == sorted(map(str, range(5_000)))
+
+
 def test_rows_not_held_shuffle_whole_rows_once(spark):
     """The index and the rows it names are found by hashes; the batch's rows are grouped once and not joined."""
     history, raw = scratch_dir(spark, "history"), fx.raw_dividends(spark, SF_DIR)
