@@ -58,7 +58,9 @@ def admitted_pages(pages: DataFrame, stops: DataFrame) -> DataFrame:
     pages stay where they are. Where it does not, pages of no run, which may be all, are dealt out one by one:
     as a join key NULL would bring them all to one task.
     """
-    loose = F.when(F.col("run").isNull(), F.monotonically_increasing_id())
-    dealt = pages.withColumn("loose", F.coalesce(loose, F.lit(-1).cast("long")))
-    joined = dealt.join(stops.withColumn("loose", F.lit(-1).cast("long")), ["run", "loose"], "left")
+    loose = F.coalesce(F.when(F.col("run").isNull(), F.monotonically_increasing_id()), F.lit(-1).cast("long"))
+    # One key of two fields: Spark would take a second key that is constant for stops out of the shuffle.
+    dealt = pages.withColumn("walk", F.struct("run", loose.alias("loose")))
+    known = stops.select(F.struct("run", F.lit(-1).cast("long").alias("loose")).alias("walk"), "stop")
+    joined = dealt.join(known, "walk", "left")
     return joined.where("run IS NULL OR (seq IS NOT NULL AND (stop IS NULL OR seq < stop))").select(pages.columns)
